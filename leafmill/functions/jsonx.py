@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as Types
 
 FOLDER = "map<string,string>"
 RAW = f"struct<family_name:string,species:array<struct<species_name:string,number_of_folders:string,number_of_sheets:string,folders_and_sheets:array<{FOLDER}>>>>"
@@ -115,7 +116,7 @@ def repair_text(text: str) -> str:
     return whole
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(Types.StringType())
 def repaired(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """J2 over a column."""
     for s in batches:

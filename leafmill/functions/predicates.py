@@ -62,7 +62,7 @@ def species_shaped(entity: Column) -> Column:
 def starts_record(line: Column, entities: Column) -> Column:
     """The line starts with one of the entities; without any, every line does."""
     alternatives = F.array_join(F.transform(entities, lambda e: F.concat(F.lit("\\Q"), e, F.lit("\\E"))), "|")
-    return line.rlike(F.concat(F.lit(RECORD_INDEX + "(?:"), alternatives, F.lit(")")))
+    return F.rlike(line, F.concat(F.lit(RECORD_INDEX + "(?:"), alternatives, F.lit(")")))
 
 
 def starts_shaped_record(line: Column) -> Column:

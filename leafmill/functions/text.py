@@ -12,6 +12,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as Types
 
 LEGACY_FAMILIES = ("COMPOSITAE", "GRAMINEAE", "LEGUMINOSAE", "PALMAE", "UMBELLIFERAE", "CRUCIFERAE", "LABIATAE", "GUTTIFERAE", "PAPILIONACEAE", "MIMOSACEAE", "CAESALPINIACEAE")
 PAGE_FAMILY = rf"\b([A-Z]+ACEAE|{'|'.join(LEGACY_FAMILIES)})\b"
@@ -71,7 +72,7 @@ def cap_breaks(c: Column) -> Column:
     return sub(c, r"\n{3,}", "\n\n")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(Types.StringType())
 def _nfkd(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     for s in batches:
         yield s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKD", t))

@@ -10,6 +10,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as Types
 
 from ..functions.text import strip
 
@@ -66,7 +67,10 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
     return [(t, m.start(), m.end()) for m in re.finditer(r"\S+", text) if (t := m.group().strip(string.punctuation))]
 
 
-@F.pandas_udf("array<struct<tok:string,s:int,e:int>>")
+_SPANS = Types.ArrayType(Types.StructType([Types.StructField("tok", Types.StringType()), Types.StructField("s", Types.IntegerType()), Types.StructField("e", Types.IntegerType())]))
+
+
+@F.pandas_udf(_SPANS)
 def tokens_and_spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """C4, with the span of each run as it stands."""
     for s in batches:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as Types
 
 from ..functions import text as T
 
@@ -113,7 +114,10 @@ def rouge_l_scores(reference: str, hypothesis: str) -> tuple[float, float, float
     return p, r, 2 * p * r / (p + r) if n else 0.0
 
 
-@F.pandas_udf("struct<p:double,r:double,f:double>")
+_SCORES = Types.StructType([Types.StructField(n, Types.DoubleType()) for n in "prf"])
+
+
+@F.pandas_udf(_SCORES)
 def rouge_l_each(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     for a, b in batches:
         yield pd.DataFrame([rouge_l_scores(x or "", y or "") for x, y in zip(a, b)], columns=["p", "r", "f"])

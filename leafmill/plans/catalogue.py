@@ -1,11 +1,15 @@
-"""All registered queries, with the SQL that checks them."""
+"""All registered queries of the catalogue engine, with the SQL that checks them."""
 
 from __future__ import annotations
 
+from . import layout_queries, record_queries, segment_queries, text_queries
+
+_MODULES = (text_queries, segment_queries, layout_queries, record_queries)
+
 
 def queries() -> dict:
-    return {}
+    return {name: query for m in _MODULES for name, query in m.QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for m in _MODULES for name, sql in m.SQL.items()}
