@@ -79,7 +79,7 @@ OP4 = """
 with p as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
 q as (select *, min(page_id) over (partition by html) as low from p)
 select page_id, cast(strlen(html) as bigint) as payload_bytes,
-  array_to_string(list_transform(range(0, 32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     cast(1 + ((cast('0x' || substr(h, cast(1 + 5 * (i // 4) as int), 5) as bigint) >> (15 - 5 * (i % 4))) & 31) as int), 1)), '') as payload_digest,
   case when page_id = low then 'response' else 'revisit' end as record_type,
   case when page_id = low then null else low end as refers_to
