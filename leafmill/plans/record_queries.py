@@ -259,7 +259,7 @@ r as (select doc_id, div_ord, fam_ord, block, division, family, string_split(con
 u as (select doc_id, div_ord, fam_ord, block, division, family, unnest(list_transform(r, lambda x: list_filter(string_split(x, chr(10)), lambda y: trim(y) <> ''))) as l from r),
 e as (select *, unnest(case when len(l) < 2 then [null] else l[2:] end) as description from u where len(l) > 0
   union all by name select doc_id, div_ord, fam_ord, block, division, family from r where regexp_full_match(array_to_string(r, ''), '\\s*'))
-select doc_id, div_ord, fam_ord, block, division, family as family_name, l[1] as species_name, len(l) - 1 as number_of_folders, cast(0 as bigint) as number_of_sheets, description from e""",
+select doc_id, div_ord, fam_ord, block, division, family as family_name, l[1] as species_name, len(l) - 1 as number_of_folders, case when l is not null then cast(0 as bigint) end as number_of_sheets, description from e""",
 }
 
 QUERIES = {
