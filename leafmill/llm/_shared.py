@@ -6,7 +6,7 @@ import json
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -37,6 +37,18 @@ def written(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def positional(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named by their place, so that none has a name an operator uses itself; ``toDF(*df.columns)`` undoes it."""
+    return df.toDF(*(f"_at{i}" for i in range(len(df.columns))))
+
+
+def row_marks(df: DataFrame) -> list[Column]:
+    """128 bits, as two longs, that tell rows apart by all their columns."""
+    kept = [F.to_json(F.struct(c)) if "map<" in t else F.col(c) for c, t in df.dtypes]
+    holes = F.concat(*(F.when(F.col(c).isNull(), "1").otherwise("0") for c in df.columns))
+    return [F.xxhash64(holes, *kept).alias("_mark_a"), F.xxhash64(F.lit("again"), holes, *kept).alias("_mark_b")]
+
+
 def local_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A few rows from the driver, as a literal of the plan."""
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{', '.join(':'.join(c.split()) for c in schema.split(', '))}>>")))

@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ._shared import written
+from ._shared import positional, written
 
 SAMPLE = 3000  #: labelled rows that the classifier learns from
 KEYWORDS = 24  #: for each domain
@@ -73,11 +73,12 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", te
     names = sorted({r[0] for r in rows.select("_y").distinct().collect()})
     each = rows.select("_y", F.explode(F.array_distinct(F.split("text", rf"[^{_LETTER}]+"))).alias("w")).where(F.col("w").rlike(f"^{_LETTER}{{1,20}}$"))
     size = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
-    counts = each.groupBy("w").pivot("_y", names).count().na.fill(0)
+    by_word = [F.count(F.when(F.col("_y") == y, 1)).alias(f"n{i}") for i, y in enumerate(names)]
+    counts = each.groupBy("w").agg(*by_word)
     total = sum(size.values())
     keywords = []
-    for y in names:  # the words whose documents lean most to this domain
-        own, rest = F.col(f"`{y}`"), sum((F.col(f"`{o}`") for o in names if o != y), F.lit(0))
+    for i, y in enumerate(names):  # the words whose documents lean most to this domain
+        own, rest = F.col(f"n{i}"), sum((F.col(f"n{k}") for k in range(len(names)) if k != i), F.lit(0))
         lean = (own / size[y]) * F.log((own + 0.5) / (size[y] + 1) / ((rest + 0.5) / (total - size[y] + 1)))
         keywords.append([r["w"] for r in counts.select("w", lean.alias("s")).where("s > 0").orderBy(F.desc("s"), "w").limit(KEYWORDS).collect()])
     model = Domains(names, keywords, [])
@@ -162,6 +163,9 @@ def resampled(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] |
     model = fit_domains(docs, labelled, doc_id, text, label)
     rows = written(posteriors(docs.select(text), model, text).select("n_tokens", "posterior"), "posteriors")
     steps, _, _ = fit_rates(rows, model.names, targets)
-    own = posteriors(docs.select(*(F.col(c) for c in docs.columns), F.col(text).alias("_text")), model, "_text")
-    n = copies(rate(steps, F.col("posterior")), F.col(doc_id))
-    return own.withColumn("_copies", n).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(docs.columns)
+    named = positional(docs)
+    at = dict(zip(docs.columns, named.columns))
+    own = posteriors(named, model, at[text])
+    n = copies(rate(steps, F.col("posterior")), F.col(at[doc_id]))
+    taken = own.withColumn("_copies", n).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    return taken.select(named.columns).toDF(*docs.columns)

@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ._shared import positional
+
 LINES = 64  #: lines of a document used in training
 SAMPLE = 2000  #: labelled documents used in training
 THRESHOLD = 0.3
@@ -237,6 +239,13 @@ def score(docs: DataFrame, model: Model | None, text: str = "text", column: str
     return docs.mapInArrow(run, schema)
 
 
+def kept(docs: DataFrame, model: Model | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """``docs`` without those that score below ``threshold``."""
+    rows = positional(docs)
+    scored = score(rows, model, rows.columns[docs.columns.index(text)], "_score")
+    return scored.where(F.col("_score") >= threshold).drop("_score").toDF(*docs.columns)
+
+
 def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 

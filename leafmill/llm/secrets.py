@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._shared import local_rows
+from ._shared import local_rows, positional
 
 NAMES = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|auth|credential|bearer|private[_-]?key|client[_-]?secret"
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}|(?<=(?:password|passwd|passphrase|pwd|secret|token|api_key|apikey|access_key)[\"']?\s{0,2}[:=]\s{0,2}[\"']?)[^\s\"'#$%&*|,;<>()]{6,}"
@@ -184,7 +184,10 @@ def findings(docs: DataFrame, trees: list, doc_id: str = "doc_id", text: str = "
 
 def redacted(docs: DataFrame, trees: list, text: str = "text", path: str | None = "source", limit: float = 0.5) -> DataFrame:
     """``docs`` with each secret of its texts replaced by a placeholder."""
-    rows = scanned(docs, trees, text, path)
+    own = positional(docs)
+    at = dict(zip(docs.columns, own.columns))
+    rows = scanned(own, trees, at[text], at.get(path))
     safe = F.zip_with("_found", "_p", lambda f, p: F.when(p >= limit, F.lit(PLACEHOLDER)).otherwise(f))
     whole = F.array_join(F.zip_with("_pieces", safe, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    return rows.withColumn(text, F.when(F.exists("_p", lambda p: p >= limit), whole).otherwise(F.col(text))).select(docs.columns)
+    clean = F.when(F.exists("_p", lambda p: p >= limit), whole).otherwise(F.col(at[text]))
+    return rows.withColumn(at[text], clean).select(own.columns).toDF(*docs.columns)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import connected_components, written
+from ._shared import connected_components, positional, row_marks, written
 
 _ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -88,12 +88,12 @@ def ball_edges(prints: DataFrame, column: str = "simhash", max_distance: int = 2
 
 
 def components(prints: DataFrame, doc_id: str = "doc_id", column: str = "simhash", max_distance: int = 2) -> DataFrame:
-    """(``column``, component_id): each distinct fingerprint's smallest doc_id reachable by links. ``prints`` is read twice: have it written."""
+    """(``column``, root, component_id): each distinct fingerprint's component, and the smallest doc_id in it. ``prints`` is read twice: have it written."""
     own = prints.groupBy(column).agg(F.min(doc_id).alias("_low"))
     links = connected_components(ball_edges(own, column, max_distance))
-    rooted = own.join(links.withColumnRenamed("node", column), column, "left").select(column, "_low", F.coalesce("component", column).alias("_root"))
-    least = rooted.groupBy("_root").agg(F.min("_low").alias("component_id"))
-    return rooted.join(least, "_root").select(column, "component_id")
+    rooted = own.join(links.withColumnRenamed("node", column), column, "left").select(column, "_low", F.coalesce("component", column).alias("root"))
+    least = rooted.groupBy("root").agg(F.min("_low").alias("component_id"))
+    return rooted.join(least, "root").select(column, "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_distance: int = 2) -> DataFrame:
@@ -103,9 +103,17 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max_distance: int = 2) -> DataFrame:
-    """One document of each component, that of the smallest doc_id; of repeated rows with it, one."""
-    found = near_duplicates(docs, doc_id, text, max_distance)
-    keep = found.groupBy("component_id").agg(F.lit(True).alias("_kept")).select(F.col("component_id").alias("_keep"))
-    order = Window.partitionBy(doc_id).orderBy(F.xxhash64(*docs.columns))
-    kept = docs.join(keep, F.col(doc_id).eqNullSafe(F.col("_keep")), "left_semi")
-    return kept.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+    """One row of each component: that of the smallest doc_id, a null one last; of several rows with it, one.
+
+    Rows are told apart by marks of all their columns, so rows of different components that share a doc_id are both kept.
+    """
+    rows = positional(docs)
+    one, body = (rows.columns[docs.columns.index(c)] for c in (doc_id, text))
+    marked = rows.select("*", *row_marks(rows))
+    prints = written(fingerprints(marked, body, keep=[one, "_mark_a", "_mark_b"]), "simhash")
+    groups = components(prints, one, max_distance=max_distance)
+    first = F.min(F.struct(F.col(one).isNull().alias("none"), one, "_mark_a", "_mark_b")).alias("lead")
+    keep = prints.join(groups, "simhash").groupBy("root").agg(first).select("lead._mark_a", "lead._mark_b")
+    same = Window.partitionBy("_mark_a", "_mark_b").orderBy(one)
+    kept = marked.join(keep, ["_mark_a", "_mark_b"], "left_semi").withColumn("_copy", F.row_number().over(same))
+    return kept.where("_copy = 1").select(rows.columns).toDF(*docs.columns)
