@@ -173,7 +173,9 @@ def near_duplicates(table: DataFrame, vec_id: str = "vec_id", embedding: str = "
                     out.append(pd.DataFrame({"node": a["node"].to_numpy(), "links": links @ c}))
         return pd.concat(out) if out else pd.DataFrame({"node": [], "links": []}).astype("int64")
 
-    links = tiles.groupBy("component", "i", "j").applyInPandas(counted, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
+    # Dealt by tile: a dealing by component, which the join leaves, would do for the groups, and put all tiles of a component into one task.
+    by_tile = tiles.repartition("component", "i", "j")
+    links = by_tile.groupBy("component", "i", "j").applyInPandas(counted, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
     lowest = reps.join(roots, "node", "left").select("node", "label", "vec_hash", "vec_id", "copies", F.coalesce("component", "node").alias("component"))
     least = lowest.groupBy("component").agg(F.min("vec_id").alias("component_id"))
     info = lowest.join(least, "component").join(links, "node", "left").select("label", "vec_hash", "copies", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
