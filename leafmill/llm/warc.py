@@ -5,7 +5,7 @@ response and the others are revisits that refer to it. A response's block is an
 HTTP message in chunked transfer framing; blocks above ``SEGMENT`` bytes are
 written as a first record and continuation records, which name the first as
 their origin, carry segment numbers, and of which the last states the total
-length. Archives are plain ``.warc`` files in the shared folder.
+length. Archives are gzip files in the shared folder; plain ones are read too.
 
 Reading splits files into records by their stated lengths, groups segments by
 origin identifier, orders them by number, verifies that none is missing and
@@ -20,6 +20,7 @@ record headers among them; an empty table gives an archive without records.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 from collections.abc import Iterator
@@ -93,6 +94,11 @@ def revisit_record(uri: str, target: str | None, refers: str, mark: str) -> byte
     return record(head, block)
 
 
+def plain(data: bytes) -> bytes:
+    """An archive's bytes without their compression, of one gzip member or many."""
+    return gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
+
+
 def records_of(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """(headers in lower case, block) of each record of an archive's bytes."""
     at = 0
@@ -170,7 +176,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     records = kept.withColumn("id", F.col("id").cast("string")).mapInArrow(store, "value binary").unionByName(revisits.mapInArrow(refer, "value binary"))
     # The text writer puts out a string's bytes as they are, and two line ends follow each record.
     per_file = max(16, int(FILE // (mean + 700)))
-    records.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", per_file).text(path)
+    records.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", per_file).option("compression", "gzip").text(path)
 
 
 def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
@@ -193,14 +199,14 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
     def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for data in f["content"]:
-                out = [row(h, b if h["warc-type"] == "response" else None) for h, b in records_of(data) if "warc-segment-number" not in h and h["warc-type"] in ("response", "revisit")]
+                out = [row(h, b if h["warc-type"] == "response" else None) for h, b in records_of(plain(data)) if "warc-segment-number" not in h and h["warc-type"] in ("response", "revisit")]
                 if out:
                     yield pd.DataFrame(out, columns=names).astype({"payload_bytes": "Int64"})
 
     def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             for data in f["content"]:
-                out = [(h.get("warc-segment-origin-id", h["warc-record-id"]), int(h["warc-segment-number"]), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, json.dumps(h), b) for h, b in records_of(data) if "warc-segment-number" in h]
+                out = [(h.get("warc-segment-origin-id", h["warc-record-id"]), int(h["warc-segment-number"]), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, json.dumps(h), b) for h, b in records_of(plain(data)) if "warc-segment-number" in h]
                 if out:
                     yield pd.DataFrame(out, columns=["origin", "number", "total", "head", "block"]).astype({"total": "Int64"})
 
