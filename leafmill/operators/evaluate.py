@@ -78,7 +78,8 @@ def words_as_characters(reference: Column, hypothesis: Column) -> tuple[Column,
 def wer(pairs: DataFrame, reference: str, hypothesis: str) -> DataFrame:
     """(edits, words, wer) over all pairs."""
     a, b = words_as_characters(F.col(reference), F.col(hypothesis))
-    n = pairs.select(a.alias("a"), b.alias("b")).agg(F.sum(F.levenshtein("a", "b").cast("long")).alias("edits"), F.sum(F.length("a").cast("long")).alias("words"))
+    own = pairs.select(a.alias("_reference"), b.alias("_hypothesis"))  # names of no column, which an expression beside them could mean
+    n = own.agg(F.sum(F.levenshtein("_reference", "_hypothesis").cast("long")).alias("edits"), F.sum(F.length("_reference").cast("long")).alias("words"))
     return n.withColumn("wer", ratio(F.col("edits"), F.col("words")))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as Types
 
 from ..functions import geometry as G
 from ..functions import predicates as P
@@ -44,7 +45,7 @@ def gap_groups(boxes: DataFrame, page: str, x: str, gap: float) -> DataFrame:
 
 def clustered_groups(boxes: DataFrame, page: str, x: str, clusterer: Callable[[list[float], int], list[int]]) -> DataFrame:
     """L7 with a density clusterer (values, least samples) -> labels: all noise is tried again with 2, and is one group after that."""
-    schema = boxes.schema.add("label", "long")
+    schema = Types.StructType([*boxes.schema.fields, Types.StructField("label", Types.LongType())])
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
         values = f[x].tolist()

@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as Types
 
 from ..functions import predicates as P
 
@@ -106,7 +107,7 @@ def read_records(spark: SparkSession, source, schema: str) -> DataFrame:
     if isinstance(source, dict):
         return spark.range(1).select(F.from_json(F.lit(json.dumps(source)), schema).alias("r")).select("r.*")
     if isinstance(source, str) and exists(spark, source):
-        return spark.read.schema(schema.removeprefix("struct<").removesuffix(">") if schema.startswith("struct<") else schema).json(source, multiLine=True)
+        return spark.read.schema(Types._parse_datatype_string(schema)).json(source, multiLine=True)
     raise ValueError(f"{source!r} is no JSON file or object")
 
 

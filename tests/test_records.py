@@ -111,17 +111,14 @@ def test_messages_of_both_kinds_agree(spark):
     assert "before" in R.noise_prompt("x", "before")[1]["content"][0]["text"]
 
 
-class Flaky:
-    """Answers rubbish unless asked to repair, and then what it was given in brackets."""
-
-    def __call__(self, messages):
-        text = messages[-1]["content"][-1]["text"]
-        if text.startswith("Repair"):
-            return '{"family_name": "MENDED", "species": []}' if "good" in text else "still bad"
-        return "rubbish good" if "good" in text else "rubbish"
-
-
 def test_transcription_asks_again_and_keeps_failures(spark):
+    class Flaky:  # rubbish, unless asked to repair something good; a class of the test's own travels to the workers
+        def __call__(self, messages):
+            text = messages[-1]["content"][-1]["text"]
+            if text.startswith("Repair"):
+                return '{"family_name": "MENDED", "species": []}' if "good" in text else "still bad"
+            return "rubbish good" if "good" in text else "rubbish"
+
     B.register("flaky", Flaky)
     blocks = spark.createDataFrame([("D", "F", "good"), ("D", None, "bad"), ("D", "", "good")], "division string, family string, content string")
     rows = B.transcribed(blocks, R.Config({"user": {"text": "{extracted_text}"}, "model": "flaky"}))
