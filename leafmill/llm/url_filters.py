@@ -111,9 +111,10 @@ def templates(labelled: DataFrame, fan_out: int = 12, share: float = 0.02, z: fl
 
 def rejected(found: DataFrame, limit: float = 0.8, weight: float = 2.0) -> DataFrame:
     """(host, shape, template, purity, rejected): purity is the share of bad among labelled urls, smoothed to the host's and through it to the corpus's."""
-    total = found.agg(((F.sum("bad") + 1) / (F.sum("seen") + 2)).alias("prior"))  # one row
-    hosts = found.groupBy("host").agg(F.sum("seen").alias("hs"), F.sum("bad").alias("hb")).join(F.broadcast(total))
-    hosts = hosts.select("host", ((F.col("hb") + weight * F.col("prior")) / (F.col("hs") + weight)).alias("host_purity"))
+    bad, seen = (x or 0 for x in found.agg(F.sum("bad"), F.sum("seen")).first())
+    prior = (bad + 0.5) / (seen + 2)  # a quarter, where nothing is known
+    hosts = found.groupBy("host").agg(F.sum("seen").alias("hs"), F.sum("bad").alias("hb"))
+    hosts = hosts.select("host", ((F.col("hb") + weight * prior) / (F.col("hs") + weight)).alias("host_purity"))
     own = found.groupBy("host", "template").agg(F.sum("seen").alias("ts"), F.sum("bad").alias("tb"))
     judged = own.join(hosts, "host").withColumn("purity", (F.col("tb") + weight * F.col("host_purity")) / (F.col("ts") + weight))
     judged = judged.select("host", "template", "purity", (F.col("purity") >= limit).alias("rejected"))
