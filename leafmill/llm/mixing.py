@@ -167,5 +167,6 @@ def resampled(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] |
     at = dict(zip(docs.columns, named.columns))
     own = posteriors(named, model, at[text])
     n = copies(rate(steps, F.col("posterior")), F.col(at[doc_id]))
-    taken = own.withColumn("_copies", n).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    # The row number keeps the filter above the projection: pushed below, it would work out rates and keywords anew.
+    taken = own.select(*named.columns, n.alias("_copies"), F.monotonically_increasing_id().alias("_row")).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return taken.select(named.columns).toDF(*docs.columns)
