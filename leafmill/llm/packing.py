@@ -19,6 +19,8 @@ doc_id are packed each; an empty table gives no pieces.
 from __future__ import annotations
 
 import re
+import sys
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 
 from ._shared import written
 
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
 class WordTokenizer:
@@ -41,15 +43,15 @@ class WordTokenizer:
     chunks are encoded by the library.
     """
 
-    _made: dict[str, "WordTokenizer"] = {}
+    _made: dict[tuple[str, int], "WordTokenizer"] = {}
 
     @classmethod
-    def of(cls, path: str) -> "WordTokenizer":
-        if path not in cls._made:
-            cls._made[path] = cls(path)
-        return cls._made[path]
+    def of(cls, path: str, width: int = 4) -> "WordTokenizer":
+        if (path, width) not in cls._made:
+            cls._made[path, width] = cls(path, width)
+        return cls._made[path, width]
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, width: int = 4):
         import json
 
         import tiktoken
@@ -58,6 +60,7 @@ class WordTokenizer:
         from .token_counts import byte_alphabet
 
         spec = json.load(open(path, encoding="utf-8"))
+        self.kind = "H" if width == 2 else "I"
         self.library = Tokenizer.from_file(path)
         special = [t["content"] for t in spec["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
@@ -85,7 +88,10 @@ class WordTokenizer:
         self.words: dict[str, bytes] = {}
 
     def packed(self, ids) -> bytes:
-        return np.asarray(ids, "<u4").tobytes()
+        out = array(self.kind, ids)
+        if sys.byteorder != "little":
+            out.byteswap()
+        return out.tobytes()
 
     def of_word(self, w: str) -> bytes:
         if self.letters.fullmatch(w):
@@ -96,39 +102,43 @@ class WordTokenizer:
         return self.packed(self.library.encode(w, add_special_tokens=False).ids)
 
     def of_chunk(self, chunk: str) -> bytes:
+        if chunk.isascii() and chunk.isalpha():  # one word
+            return self.remembered(chunk.lower())
         if not self.plain.fullmatch(chunk):
             return self.packed(self.library.encode(chunk, add_special_tokens=False).ids)
-        out = []
-        for w in self.cut.findall(chunk.lower()):
-            b = self.words.get(w)
-            if b is None:
-                b = self.of_word(w)
-                if len(w) <= 40:
-                    if len(self.words) > REMEMBERED // 2:
-                        self.words.clear()
-                    self.words[w] = b
-            out.append(b)
-        return b"".join(out)
+        return b"".join(map(self.remembered, self.cut.findall(chunk.lower())))
+
+    def remembered(self, w: str) -> bytes:
+        b = self.words.get(w)
+        if b is None:
+            b = self.of_word(w)
+            if len(w) <= 40:
+                if len(self.words) > REMEMBERED // 2:
+                    self.words.clear()
+                self.words[w] = b
+        return b
 
     def encode(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
+        """Little-endian unsigned ids of ``width`` bytes."""
         if not text:
             return b""
         if "<|" in text and self.special is not None and self.special.search(text) or self.odd.search(text):
             return self.packed(self.library.encode(text, add_special_tokens=False).ids)
         chunks, parts = self.chunks, text.split()
-        try:
-            return b"".join(map(chunks.__getitem__, parts))
-        except KeyError:
-            pass
-        if len(chunks) > REMEMBERED:
-            chunks.clear()
-        for c in set(parts).difference(chunks):
-            chunks[c] = self.of_chunk(c)
-        out = b"".join(map(chunks.__getitem__, parts))
-        for c in [c for c in parts if len(c) > 40]:
-            chunks.pop(c, None)
-        return out
+        found = list(map(chunks.get, parts))
+        if None in found:
+            if len(chunks) > REMEMBERED:
+                chunks.clear()
+            long: dict[str, bytes] = {}  # of this text only
+            for i, b in enumerate(found):
+                if b is None:
+                    c = parts[i]
+                    kept = chunks if len(c) <= 40 else long
+                    b = kept.get(c)
+                    if b is None:
+                        b = kept[c] = self.of_chunk(c)
+                    found[i] = b
+        return b"".join(found)
 
 
 def best_fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -204,24 +214,33 @@ def places(by: dict[int, tuple[list[int], list[tuple]]], length: int, rank: int)
         length, rank = length - cut, back + i
 
 
-def tokenized(docs: DataFrame, tokenizer: str, end_id: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, doc_tokens, ids): each document's ids, the end id last, as little-endian unsigned 32-bit integers."""
+def id_bytes(tokenizer: str, end_id: int = 1) -> int:
+    """Bytes that hold any id of a vocabulary: 2 or 4."""
+    import json
+
+    spec = json.load(open(tokenizer, encoding="utf-8"))
+    top = max([end_id, *spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+    return 2 if top < 1 << 16 else 4
+
+
+def tokenized(docs: DataFrame, tokenizer: str, end_id: int = 1, doc_id: str = "doc_id", text: str = "text", width: int = 4) -> DataFrame:
+    """(doc_id, doc_tokens, ids): each document's ids, the end id last, as little-endian unsigned integers of ``width`` bytes."""
     schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("doc_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    end = int(end_id).to_bytes(4, "little")
+    end = int(end_id).to_bytes(width, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = WordTokenizer.of(tokenizer)
+        own = WordTokenizer.of(tokenizer, width)
         for b in batches:
             for i in range(0, b.num_rows, 1000):
                 part = b.slice(i, 1000)
                 ids = [own.encode(t) + end for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=schema.names)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(x) // width for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=schema.names)
 
     return docs.select(doc_id, text).mapInArrow(run, schema)
 
 
-def pack(tokens: DataFrame, window: int = 2048, buckets: int | None = None) -> DataFrame:
-    """Pieces (doc_id, start, length, ids, doc_tokens, sequence_id, offset) of ``tokens`` (doc_id, doc_tokens, ids; written, as it is read twice)."""
+def pack(tokens: DataFrame, window: int = 2048, buckets: int | None = None, width: int = 4) -> DataFrame:
+    """Pieces (doc_id, start, length, ids, doc_tokens, sequence_id, offset) of ``tokens`` (doc_id, doc_tokens, ids of ``width`` bytes; written, as it is read twice). A piece's ids have 32 bits each."""
     spark = tokens.sparkSession
     buckets = buckets or max(32, min(1024, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     light = tokens.select((F.col("doc_tokens") % window).alias("_rest"), F.floor(F.col("doc_tokens") / window).alias("_full"), F.pmod(F.xxhash64("doc_id", "doc_tokens"), F.lit(buckets)).cast("int").alias("_bucket"))
@@ -262,6 +281,8 @@ def pack(tokens: DataFrame, window: int = 2048, buckets: int | None = None) -> D
                 cols: list[list] = [[] for _ in range(7)]
                 take: list[int] = []
                 total, ids, rest, full, bucket, rank, was = (b.column(k).to_pylist() for k in range(1, 8))
+                if width != 4:
+                    ids = [np.frombuffer(x, f"<u{width}").astype("<u4").tobytes() for x in ids]
                 for j in range(b.num_rows):
                     ranked_before, windows_before = earlier[rest[j], bucket[j]]
                     for k in range(full[j]):
@@ -282,4 +303,5 @@ def pack(tokens: DataFrame, window: int = 2048, buckets: int | None = None) -> D
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Tokenize ``docs`` once, then pack; every id lies in one piece, and every sequence is filled from offset 0 without gaps."""
-    return pack(written(tokenized(docs, tokenizer, end_id, doc_id, text), "tokens"), window)
+    width = id_bytes(tokenizer, end_id)
+    return pack(written(tokenized(docs, tokenizer, end_id, doc_id, text, width), "tokens"), window, width=width)
