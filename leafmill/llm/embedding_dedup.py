@@ -3,8 +3,13 @@
 Each pass draws its own random hyperplanes, concatenates their signs into one
 sort key, orders the vectors by (label, key) and compares each with the next
 ``window`` in that order; pairs whose cosine is verified are united across
-passes. The number of passes follows from the number of vectors, so that a pair
-just at the threshold is still met with probability ``recall`` at any size.
+passes. Keys are of vectors less their label's mean, so that vectors about one
+direction do not share most of their signs; cosines are of the vectors as they
+are. The number of passes is measured for each label: partners are drawn at the
+threshold to vectors of a sample of at most some ``SAMPLE``, and the ranks
+between their keys say how often such a pair meets in a window. Passes are as
+many as ``recall`` asks for on average over these pairs, ``MAX_PASSES`` at most
+(where it binds, recall is lower), and never fewer than evenly spread keys need.
 A pass is dealt over buckets of its key's quantiles; the key ends in hashed
 bits of the id, so no set of alike vectors, however large, fills one bucket,
 and a bucket's sorted rows are read as a stream that holds one window.
@@ -38,15 +43,46 @@ BITS = 40  #: sign bits of a key; the 23 below are of the id
 WINDOW = 32
 TILE = 512
 MAX_BUCKETS = 4096
+SAMPLE = 4096  #: vectors of a label on which its passes are measured
+MAX_PASSES = 128
 
 
 def passes_for(n: int, threshold: float, window: int = WINDOW, recall: float = 0.98) -> int:
-    """Passes after which a pair at ``threshold`` has met in a window with probability ``recall``."""
+    """Passes after which a pair at ``threshold`` has met in a window with probability ``recall``, if keys spread evenly."""
     same = 1 - math.acos(threshold) / math.pi
     met = same ** max(1.0, math.log2(max(2, n) / window))
     return max(6, math.ceil(math.log(1 - recall) / math.log(1 - met)))
 
 
+def measured_passes(sample: np.ndarray, mean: np.ndarray, n: int, threshold: float, window: int = WINDOW, recall: float = 0.98, seed: int = 7, trials: int = 32, probes: int = 192) -> int:
+    """Passes that a label of ``n`` unit vectors with ``mean`` needs, from a ``sample`` of them."""
+    if n <= window + 1:
+        return 1
+    rng = np.random.default_rng([seed, len(sample)])
+    own = sample[rng.permutation(len(sample))[:probes]]
+    aside = rng.standard_normal(own.shape)
+    aside -= (aside * own).sum(axis=1, keepdims=True) * own
+    length = np.sqrt((aside * aside).sum(axis=1, keepdims=True))
+    partner = threshold * own + math.sqrt(max(0.0, 1 - threshold * threshold)) * aside / np.where(length > 0, length, 1)
+    ratio, least = n / window, 4.0  # ranks of the sample that still tell distances apart
+    near = max(least, len(sample) / ratio)
+    met, wide = np.zeros(len(own)), np.zeros(len(own))
+    none = np.zeros(1, np.int64)
+    for p in range(trials):
+        at = [np.searchsorted(np.sort(keys(sample - mean, none, 10_000 + p, seed)), keys(x - mean, none, 10_000 + p, seed)) for x in (own, partner)]
+        apart = np.abs(at[0] - at[1])
+        met += apart <= near
+        wide += apart <= 8 * near
+    share = (met + 4 * max(met.mean(), 0.5) / trials) / (trials + 4)
+    if len(sample) / ratio < least:  # carried on as the power of the size that the sample shows
+        power = math.log(max(wide.mean(), 0.5) / max(met.mean(), 0.5)) / math.log(8)
+        share = share * (len(sample) / ratio / least) ** max(power, 0.0)
+    for p in range(6, MAX_PASSES):
+        if (1 - (1 - share) ** p).mean() >= recall:
+            return p
+    return MAX_PASSES
+
+
 def hyperplanes(seed: int, number: int, dims: int) -> np.ndarray:
     return np.random.default_rng([seed, number, dims]).standard_normal((BITS, dims))
 
@@ -109,19 +145,44 @@ def near_duplicates(table: DataFrame, vec_id: str = "vec_id", embedding: str = "
     # A representative has a number of its own: a vec_id may be in several classes where ids repeat.
     reps = reps.withColumn("node", F.xxhash64("label", "vec_hash"))
     n = reps.count()
-    passes = passes or passes_for(n, threshold, window)
     number = max(1, min(MAX_BUCKETS, n // 4096))
+    floor = passes_for(n, threshold, window)
+    narrow = "<f4" if dict(table.dtypes)[embedding] == "array<float>" else "<f8"
+
+    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for (at, dims), g in f.groupby([f["label"], f["vec"].map(len)]):
+                yield pd.DataFrame({"label": [at], "dims": [dims], "n": [len(g)], "total": [unit(g["vec"].tolist())[0].sum(axis=0)]})
+
+    def centre(f: pd.DataFrame) -> pd.DataFrame:
+        number = int(f["n"].sum())
+        return pd.DataFrame({"label": f["label"].iloc[:1], "dims": f["dims"].iloc[:1], "n": [number], "mean": [np.sum(f["total"].tolist(), axis=0) / number]})
+
+    # One row for each label and length of vectors.
+    means = reps.select("label", "vec").mapInPandas(summed, "label long, dims long, n long, total array<double>").groupBy("label", "dims").applyInPandas(centre, "label long, dims long, n long, mean array<double>")
+    means = written(means, "means")
+    sized = reps.select("node", F.col("label").cast("long").alias("label"), "vec", F.size("vec").cast("long").alias("dims"))
+
+    def measured(f: pd.DataFrame) -> pd.DataFrame:
+        count = measured_passes(unit(f["vec"].tolist())[0], np.array(f["mean"].iloc[0]), int(f["n"].iloc[0]), threshold, window, seed=seed)
+        count = max(count, floor)
+        return pd.DataFrame({"label": f["label"].iloc[:1], "dims": f["dims"].iloc[:1], "passes": [passes or count]})
+
+    sample = sized.join(means, ["label", "dims"]).where(F.pmod(F.xxhash64("node", F.lit("sample")), F.col("n")) < SAMPLE)
+    counts = written(sample.groupBy("label", "dims").applyInPandas(measured, "label long, dims long, passes int"), "passes")
+    ready = sized.join(means.join(counts, ["label", "dims"]).select("label", "dims", "mean", "passes"), ["label", "dims"]).select("node", "label", "vec", "mean", "passes")
 
     def keyed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            for _, g in f.groupby(f["vec"].map(len)):
+            for _, g in f.groupby([f["label"], f["vec"].map(len)]):
                 x, _ = unit(g["vec"].tolist())
-                for p in range(passes):
-                    yield pd.DataFrame({"pass": p, "key": keys(x, g["node"].to_numpy(), p, seed), "label": g["label"].to_numpy(), "node": g["node"].to_numpy(), "vec": [v.tobytes() for v in x]})
+                moved, vec = x - np.array(g["mean"].iloc[0]), [np.asarray(v, narrow).tobytes() for v in g["vec"]]
+                for p in range(int(g["passes"].iloc[0])):
+                    yield pd.DataFrame({"pass": p, "key": keys(moved, g["node"].to_numpy(), p, seed), "label": g["label"].to_numpy(), "node": g["node"].to_numpy(), "vec": vec})
 
-    passed = reps.select("node", "label", "vec").mapInPandas(keyed, "pass int, key long, label long, node long, vec binary")
+    passed = ready.mapInPandas(keyed, "pass int, key long, label long, node long, vec binary")
     if number > 1:
-        # Quantiles of each pass's keys: passes x MAX_BUCKETS numbers at most.
+        # Quantiles of each pass's keys: MAX_PASSES x MAX_BUCKETS numbers at most.
         cuts = passed.groupBy("pass").agg(F.percentile_approx("key", [i / number for i in range(1, number)], 10 * number).alias("cuts")).collect()
         bounds = {r["pass"]: np.array(r["cuts"], np.int64) for r in cuts}
     else:
@@ -133,7 +194,7 @@ def near_duplicates(table: DataFrame, vec_id: str = "vec_id", embedding: str = "
             at = shared.value.get(int(f["pass"].iloc[0])) if len(f) else None
             yield f.assign(bucket=np.searchsorted(at, f["key"].to_numpy(), "right") if at is not None else 0)
 
-    dealt = reps.select("node", "label", "vec").mapInPandas(bucketed, "pass int, key long, label long, node long, vec binary, bucket long")
+    dealt = ready.mapInPandas(bucketed, "pass int, key long, label long, node long, vec binary, bucket long")
 
     def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tail = None
@@ -141,7 +202,7 @@ def near_duplicates(table: DataFrame, vec_id: str = "vec_id", embedding: str = "
             f = f if tail is None else pd.concat([tail, f], ignore_index=True)
             width = f["vec"].map(len).to_numpy()
             most = width.max()
-            x = np.frombuffer(b"".join(v.ljust(most, b"\0") for v in f["vec"]), "<f8").reshape(len(f), -1)
+            x, _ = unit(np.frombuffer(b"".join(v.ljust(most, b"\0") for v in f["vec"]), narrow).reshape(len(f), -1))
             group = pd.util.hash_pandas_object(f[["pass", "bucket", "label"]].assign(width=width), index=False).to_numpy()
             links = window_links(f["node"].to_numpy(), group, x, threshold, window)
             if links:

@@ -198,6 +198,21 @@ def test_recall_does_not_fall_with_size():
     assert E.passes_for(10**10, 0.93) > E.passes_for(10**4, 0.93) >= 6
 
 
+def test_embedding_recall_in_a_large_concentrated_label(spark):
+    rng = np.random.default_rng(9)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    aside = lambda x: unit((g := rng.standard_normal(x.shape)) - (g * x).sum(axis=1, keepdims=True) * x)
+    n, dims = 6000, 64
+    mean = np.repeat(unit(rng.standard_normal((1, dims))), n, axis=0)
+    base = 0.8 * mean + 0.6 * aside(mean)
+    x = np.vstack([base, 0.935 * base + np.sqrt(1 - 0.935**2) * aside(base)]).astype(np.float32)
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(x)] + [(2 * n + i, v.tolist(), 1) for i, v in enumerate(unit(rng.standard_normal((2000, dims))))]
+    found = {r["vec_id"]: r["n_links"] for r in E.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()}
+    y = x.astype(float)
+    links = (y @ y.T >= 0.93 * np.linalg.norm(y, axis=1)[:, None] * np.linalg.norm(y, axis=1)[None, :]).sum(axis=1) - 1
+    assert all(found[i] <= links[i] for i in range(2 * n)) and sum(found[i] for i in range(2 * n)) >= 0.9 * links.sum()
+
+
 def test_op3_against_sql(spark, sf):
     assert difference(spark, Q.op3_embedding_dedup, Q.OP3, sf) == ""
 
