@@ -5,7 +5,8 @@ prefix; the longest that fits decides. Other urls are judged by templates.
 A path's segments are first written by their form (numbers, hexadecimal runs,
 long mixed identifiers and file suffixes become classes), so that a host's urls
 fall into few shapes. Level by level, a node's children that are many and each
-rare are generalised into a wildcard, and siblings that are statistically
+rare are generalised into a wildcard, unless their own labels tell them from
+the siblings pooled, and siblings that are statistically
 alike - their labelled purity does not differ from that of the siblings pooled
 - are merged into one branch. A template is rejected when its purity among
 labelled urls, smoothed towards the host's and the corpus's, passes a limit.
@@ -103,6 +104,9 @@ def templates(labelled: DataFrame, fan_out: int = 12, share: float = 0.02, z: fl
         apart = F.abs(F.col("kb") / F.col("ks") - p) / F.sqrt(p * (1 - p) / F.col("ks"))
         alike = (F.col("fan") > 1) & (F.col("ks") > 0) & (apart < z)
         quiet = (F.col("fan") > 1) & (F.col("ks") == 0)  # nothing tells it from its siblings
+        # Rare ones whose own labels tell them from the pool stay branches; half a label less, as few labels are many by chance.
+        own = (F.col("ks") > 0) & ((F.abs(F.col("kb") - F.col("ks") * p) - 0.5) / F.sqrt(F.col("ks") * p * (1 - p)) >= z)
+        rare = rare & ~own
         to = both.select("host", "done", "seg", F.when(rare | alike | quiet, F.lit("*")).otherwise(F.col("seg")).alias("to"))
         t = t.join(to, ["host", "done", "seg"], "left").withColumn("done", F.when(F.col("seg").isNull(), F.col("done")).otherwise(F.concat("done", F.array("to")))).select("host", "shape", "n", "seen", "bad", "done")
         t = written(t, "shapes")

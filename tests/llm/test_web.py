@@ -68,6 +68,19 @@ def test_bad_templates_are_blocked(spark):
     assert len({r["template"] for r in found}) <= 12  # variable segments are wildcards
 
 
+def test_rare_sections_with_labels_of_their_own_are_blocked(spark):
+    names = "alpha bravo charlie delta echo foxtrot golf hotel india juliet kilo lima mike november".split()
+    rows, labels = [], []
+    for k, name in enumerate([*names, "casino"]):
+        for i in range(100 if name == "casino" else 400):
+            rows.append((len(rows), f"http://big.test/{name}/{i}"))
+            if i % 4 == 0:
+                labels.append((len(rows) - 1, int(name == "casino")))
+    df, known = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int")
+    blocked = {r["path"].split("/")[1] for r in U.judge(df, known).collect() if r["verdict"] == "block"}
+    assert blocked == {"casino"}  # 1.8% of the host's urls
+
+
 def test_few_labels_do_not_reject(spark):
     df = spark.createDataFrame([(i, f"http://s.test/a/{i}") for i in range(50)], "page_id long, url string")
     one = spark.createDataFrame([(0, 1)], "page_id long, bad int")
