@@ -2,23 +2,24 @@
 
 Rules name a host, which they hold for with all its subdomains, and a path
 prefix; the longest that fits decides. Other urls are judged by templates.
-A path's segments are first written by their form (numbers, hexadecimal runs,
-long mixed identifiers and file suffixes become classes), so that a host's urls
-fall into few shapes. Level by level, a node's children that are many and each
+Segments have a form (numbers, hexadecimal runs, long mixed identifiers and file
+suffixes are classes). At each node a segment is written by its form, unless its
+own labels tell it from all segments of that form there: a fixed section may
+hold digits. The walk goes as deep as paths share a node.
+Level by level, a node's children that are many and each
 rare are generalised into a wildcard, unless their own labels tell them from
 the siblings pooled, and siblings that are statistically
 alike - their labelled purity does not differ from that of the siblings pooled
 - are merged into one branch. A template is rejected when its purity among
 labelled urls, smoothed towards the host's and the corpus's, passes a limit.
 
-All in DataFrame operations. Urls are reduced to counts for each (host, shape)
+All in DataFrame operations. Urls are reduced to counts for each (host, path)
 by partial aggregation before any shuffle; the levels work on those counts,
-and only the verdicts, one for each (host, shape), are joined back.
+and only the verdicts, one for each (host, path), are joined back.
 
 Cases: a null url, and one without ``://``, have an empty host and path and
 are judged by no rule; labels that are null count as none; repeated urls count
-each time; an empty table gives no rows; paths deeper than ``DEPTH`` segments
-share one wildcard for all that is deeper.
+each time; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -30,8 +31,6 @@ from pyspark.sql import functions as F
 
 from ._shared import written
 
-DEPTH = 6  #: levels of a tree; deeper segments are one wildcard
-
 
 @dataclass(frozen=True)
 class Rule:
@@ -74,8 +73,12 @@ def rule_of(rules: tuple[Rule, ...] = RULES) -> Column:
     return best
 
 
-def shape(path: Column) -> Column:
-    """The segments of a path by their form; what is deeper than ``DEPTH`` becomes ``**``."""
+def segments(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda x: x != "")
+
+
+def forms(path: Column) -> Column:
+    """The segments of a path by their form."""
     s = path
     for pattern, by in (
         (r"(?<=/)[0-9]+(?=(\.[A-Za-z0-9]{1,5})?(/|$))", "{n}"),
@@ -84,33 +87,47 @@ def shape(path: Column) -> Column:
         (r"(?<=/)[^/{}]{41,}(?=/|$)", "{s}"),
     ):
         s = F.regexp_replace(s, pattern, by)
-    parts = F.filter(F.split(s, "/"), lambda x: x != "")
-    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))).otherwise(parts)
+    return segments(s)
+
+
+def told_apart(seen: str, bad: str, p: Column, z: float) -> Column:
+    """Whether labels differ from the purity ``p``; half a label less, as among many some differ by chance."""
+    return F.coalesce((F.col(seen) > 0) & ((F.abs(F.col(bad) - F.col(seen) * p) - 0.5) / F.sqrt(F.col(seen) * p * (1 - p)) >= z), F.lit(False))
 
 
 def templates(labelled: DataFrame, fan_out: int = 12, share: float = 0.02, z: float = 2.0) -> DataFrame:
-    """(host, shape, template, n, seen, bad): each shape's template. ``labelled``: host, shape, bad (0, 1 or null)."""
+    """(host, shape, template, n, seen, bad): each path's template. ``labelled``: host, shape (a path's segments), bad (0, 1 or null)."""
     leaves = labelled.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("bad").alias("seen"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("bad"))
     # One row per (host, shape) from here on, written for each level. ``done`` is the generalised prefix.
-    t = written(leaves.withColumn("done", F.array().cast("array<string>")), "shapes")
-    deepest = t.agg(F.max(F.size("shape"))).first()[0] or 0
-    for d in range(deepest):
-        t = t.withColumn("seg", F.get(F.col("shape"), F.lit(d)))
-        kids = t.where("seg is not null").groupBy("host", "done", "seg").agg(F.sum("n").alias("kn"), F.sum("seen").alias("ks"), F.sum("bad").alias("kb"))
+    t = written(leaves.withColumns({"done": F.array().cast("array<string>"), "form": forms(F.concat(F.lit("/"), F.array_join("shape", "/")))}), "shapes")
+    columns, over, d = ["host", "shape", "n", "seen", "bad", "done"], None, 0
+    while True:
+        # A path that is at its end, or alone at its node, has nothing more to be told from.
+        alone = t.groupBy("host", "done").agg(F.count("*").alias("paths"))
+        t = written(t.join(alone, ["host", "done"]).withColumn("more", (F.size("shape") > d) & (F.col("paths") > 1)).drop("paths"), "shapes")
+        ended = t.where("not more").withColumn("done", F.concat("done", F.slice("form", d + 1, F.greatest(F.size("form") - d, F.lit(0))))).select(columns)
+        over = ended if over is None else over.unionByName(ended)
+        t = t.where("more").drop("more")
+        if not t.limit(1).count():
+            break
+        t = t.withColumns({"raw": F.get(F.col("shape"), F.lit(d)), "cls": F.get(F.col("form"), F.lit(d))})
+        classed = t.where("raw <> cls")
+        pools = classed.groupBy("host", "done", "cls").agg(F.sum("seen").alias("ps"), F.sum("bad").alias("pb"))
+        known = classed.where("seen > 0").groupBy("host", "done", "cls", "raw").agg(F.sum("seen").alias("ks"), F.sum("bad").alias("kb"))
+        p = (F.col("pb") + 0.5) / (F.col("ps") + 1)
+        fixed = known.join(pools, ["host", "done", "cls"]).where(told_apart("ks", "kb", p, z)).select("host", "done", "raw", F.lit(True).alias("fixed"))
+        t = written(t.join(fixed, ["host", "done", "raw"], "left").withColumn("seg", F.when(F.col("fixed"), F.col("raw")).otherwise(F.col("cls"))).select(*columns, "form", "seg"), "shapes")
+        kids = t.groupBy("host", "done", "seg").agg(F.sum("n").alias("kn"), F.sum("seen").alias("ks"), F.sum("bad").alias("kb"))
         pool = kids.groupBy("host", "done").agg(F.count("*").alias("fan"), F.sum("kn").alias("pn"), F.sum("ks").alias("ps"), F.sum("kb").alias("pb"))
         both = kids.join(pool, ["host", "done"])
-        rare = (F.col("fan") >= fan_out) & (F.col("kn") < F.greatest(F.lit(2.0), share * F.col("pn")))
-        p = (F.col("pb") + 0.5) / (F.col("ps") + 1)
+        rare = (F.col("fan") >= fan_out) & (F.col("kn") < F.greatest(F.lit(2.0), share * F.col("pn"))) & ~told_apart("ks", "kb", p, z)
         apart = F.abs(F.col("kb") / F.col("ks") - p) / F.sqrt(p * (1 - p) / F.col("ks"))
         alike = (F.col("fan") > 1) & (F.col("ks") > 0) & (apart < z)
         quiet = (F.col("fan") > 1) & (F.col("ks") == 0)  # nothing tells it from its siblings
-        # Rare ones whose own labels tell them from the pool stay branches; half a label less, as few labels are many by chance.
-        own = (F.col("ks") > 0) & ((F.abs(F.col("kb") - F.col("ks") * p) - 0.5) / F.sqrt(F.col("ks") * p * (1 - p)) >= z)
-        rare = rare & ~own
         to = both.select("host", "done", "seg", F.when(rare | alike | quiet, F.lit("*")).otherwise(F.col("seg")).alias("to"))
-        t = t.join(to, ["host", "done", "seg"], "left").withColumn("done", F.when(F.col("seg").isNull(), F.col("done")).otherwise(F.concat("done", F.array("to")))).select("host", "shape", "n", "seen", "bad", "done")
-        t = written(t, "shapes")
-    return t.select("host", "shape", F.concat(F.lit("/"), F.array_join("done", "/")).alias("template"), "n", "seen", "bad")
+        t = written(t.join(to, ["host", "done", "seg"]).withColumn("done", F.concat("done", F.array("to"))).select(*columns, "form"), "shapes")
+        d += 1
+    return written(over, "shapes").select("host", "shape", F.concat(F.lit("/"), F.array_join("done", "/")).alias("template"), "n", "seen", "bad")
 
 
 def rejected(found: DataFrame, limit: float = 0.8, weight: float = 2.0) -> DataFrame:
@@ -127,7 +144,7 @@ def rejected(found: DataFrame, limit: float = 0.8, weight: float = 2.0) -> DataF
 
 def judge(urls: DataFrame, labels: DataFrame, key: str = "page_id", url: str = "url", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(key, host, path, rule, verdict, template, purity) for every row. ``labels``: (key, bad), of which a key's mean is taken."""
-    own = parsed(urls.select(F.col(key).alias("_key"), F.col(url).alias("url"))).withColumn("shape", shape(F.col("path")))
+    own = parsed(urls.select(F.col(key).alias("_key"), F.col(url).alias("url"))).withColumn("shape", segments(F.col("path")))
     known = labels.where("bad is not null").groupBy(F.col(key).alias("_key")).agg((F.avg("bad") >= 0.5).cast("int").alias("bad"))
     learnt = own.join(known, "_key", "left").select("host", "shape", "bad")
     verdicts = rejected(templates(learnt))

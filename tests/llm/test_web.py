@@ -81,6 +81,17 @@ def test_rare_sections_with_labels_of_their_own_are_blocked(spark):
     assert blocked == {"casino"}  # 1.8% of the host's urls
 
 
+def test_deep_sections_and_sections_with_digits(spark):
+    bad = ("/a/b/c/d/e/f/spam/", "/x/casino777/", "/api/v2/")
+    good = ("/a/b/c/d/e/f/news/", "/x/news24/", "/api/v1/")
+    rows = [(k * 300 + i, f"http://deep.test{part}{i}/") for k, part in enumerate(bad + good) for i in range(300)]
+    rows.append((9999, "http://deep.test/" + "trap/" * 300))
+    labels = [(i, int(i < 900)) for i, _ in rows[:-1] if i % 4 == 0]
+    df, known = spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "page_id long, bad int")
+    found = {r["page_id"]: r["verdict"] for r in U.judge(df, known).collect()}
+    assert len(found) == len(rows) and all((found[i] == "block") == (i < 900) for i, _ in rows[:-1])
+
+
 def test_few_labels_do_not_reject(spark):
     df = spark.createDataFrame([(i, f"http://s.test/a/{i}") for i in range(50)], "page_id long, url string")
     one = spark.createDataFrame([(0, 1)], "page_id long, bad int")
