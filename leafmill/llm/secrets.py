@@ -1,7 +1,9 @@
 """Secret scans with a random forest that removes false positives.
 
 Candidates are runs of 12 or more key-like characters with a digit among them,
-and values assigned to names such as ``password``. A forest judges each by its
+and values of six or more characters assigned to names such as ``password``, in
+any case: quoted ones up to their closing quote, others up to white space or a
+further assignment. A forest judges each by its
 length, character classes and transitions, how much of it dictionary words
 cover, the document's path, and the neighbouring words. It is trained from
 labelled findings on the driver (a bounded list) and compiled to one SQL
@@ -25,10 +27,17 @@ from pyspark.sql import functions as F
 from ._shared import local_rows, positional
 
 NAMES = r"pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|apikey|access[_-]?key|auth|credential|bearer|private[_-]?key|client[_-]?secret"
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}|(?<=(?:password|passwd|passphrase|pwd|secret|token|api_key|apikey|access_key)[\"']?\s{0,2}[:=]\s{0,2}[\"']?)[^\s\"'#$%&*|,;<>()]{6,}"
+#: A name with what commonly ends it, of bounded length as lookbehinds ask for.
+NAMED = rf"(?i:{NAMES})(?i:orization)?(?i:[_-]?(?:key|token|id|value|secret|hash))?[0-9]{{0,2}}[\"']?\s{{0,2}}(?::=|=>|[:=])\s{{0,2}}"
+_AFTER = r"(?<=[:=>]\s{0,2}[\"']?)"  # tried first: it fails sooner than the names do
+_QUOTED = "|".join(rf"(?<={q}){_AFTER}(?<={NAMED}{q})(?=(?:[^{q}\\\r\n]|\\[^\r\n]){{6}})(?:[^{q}\\\r\n]++|\\[^\r\n]){{1,256}}+(?={q})" for q in "\"'")
+_BARE = rf"(?<=[:=>\s]){_AFTER}(?<={NAMED})(?!\s|[\"']|(?i:bearer|basic)\s)(?:[^\s\"'&,;<>()]++|[&,;()](?!\s|$|[A-Za-z_]\w{{0,30}}[\"']?\s?[:=])){{1,256}}+(?<=[^\s\"'<>]{{6}})"
+_BEARER = r"(?<=\s)(?<=(?i:bearer|basic)\s{1,2})[A-Za-z0-9._~+/-]{12,}={0,2}"
+_RUN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{12,}={0,2}"
+CANDIDATE = f"{_QUOTED}|{_BARE}|{_BEARER}|{_RUN}"
 DICTIONARY = "password|passwd|secret|token|access|account|admin|android|apple|backup|banner|button|client|cloud|commit|config|container|content|control|customer|data|database|default|demo|details|document|download|dummy|element|email|error|example|express|false|file|footer|format|frame|header|hello|home|image|index|input|item|label|library|link|list|login|main|manager|media|menu|message|model|module|name|node|number|object|option|order|output|package|page|panel|phone|placeholder|plugin|post|private|product|profile|project|public|query|release|report|request|response|result|sample|screen|script|search|section|server|service|session|setting|source|status|string|style|submit|system|table|target|template|test|text|theme|title|true|type|update|upload|user|value|version|video|view|widget|window|world|your"
 BENIGN = r"commit|revision|rev|sha1?|sha256|md5|checksum|hash|digest|etag|uuid|guid|isbn|order|invoice|card|tracking|phone|serial|build|version|issue|ticket|model|part|ref"
-FEATURES = ("length", "digits", "capitals", "transitions", "hexadecimal", "distinct", "dictionary", "syllables", "named", "benign_before", "benign_after", "benign_path", "placeholder", "prefix", "joints", "uuid", "quoted", "numeric")
+FEATURES = ("length", "digits", "capitals", "transitions", "hexadecimal", "distinct", "dictionary", "syllables", "named", "benign_before", "benign_after", "benign_path", "placeholder", "prefix", "joints", "uuid", "quoted", "numeric", "symbols")
 #: Spans are matched again by the redaction, so only these columns need be there.
 PLACEHOLDER = "[SECRET]"
 
@@ -60,7 +69,7 @@ def features(tok: Column, before: Column, after: Column, path: Column) -> Column
         F.size(F.array_distinct(F.split(tok, ""))) / n,
         1 - F.length(F.regexp_replace(low, DICTIONARY, "")) / n,
         count("[bcdfghjklmnpqrstvwxyz][aeiou]", low),
-        flag(left.rlike(rf"(?i)(?:{NAMES})[\"']?\s*(?:[:=]|is)?\s*[\"']?$")),
+        flag(left.rlike(rf"(?i)(?:{NAMES})(?:orization)?(?:[_-]?(?:key|token|id|value|secret|hash))?[0-9]{{0,2}}[\"']?\s*(?::=|=>|[:=]|is)?\s*[\"']?$")),
         flag(left.rlike(rf"(?i)(?<![A-Za-z])(?:{BENIGN})[^A-Za-z0-9]{{0,4}}$")),
         flag(right.rlike(rf"(?i)^[^A-Za-z0-9]{{0,3}}(?:{BENIGN})(?![A-Za-z])")),
         flag(path.rlike("(?i)(test|example|fixture|mock|sample|docs?/|vendor|node_modules|lock)")),
@@ -70,6 +79,7 @@ def features(tok: Column, before: Column, after: Column, path: Column) -> Column
         flag(low.rlike("^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")),
         flag(left.rlike("[\"']$") & right.rlike("^[\"']")),
         flag(tok.rlike("^[0-9_/+-]+=*$")),
+        count("[!@#$%^&*?~|]"),
     )
 
 
@@ -109,6 +119,17 @@ def labelled_findings(number: int = 1600, seed: int = 11) -> list[dict]:
         add(plain() + rng.choice([" order ", " invoice ", " tracking ", " isbn "]), mixed(rng.randint(12, 16), string.digits + "X-"), " " + plain(), 0)
         add(f"{plain()} {name}={quote}", mixed(rng.randint(16, 40)), quote + " " + plain(), 0, rng.choice(benign_paths))
         add(plain() + " ", f"{rng.randint(1990, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}T{rng.randint(10, 23)}", ":00 " + plain(), 0)
+        cased = rng.choice([name, name.upper(), name.capitalize(), "DB_" + name.upper(), "secret_key", "private_key", "PASSWORD"])
+        sign, mark = rng.choice(["=", " = ", ": "]), rng.choice(['"', "'"])
+        strong = mixed(rng.randint(3, 7)) + rng.choice(string.digits) + mixed(1, "!@#$%&*?") + mixed(rng.randint(2, 6))
+        add(f"{plain()} {cased}{sign}{mark}", strong, mark + tail, 1)
+        human = word().capitalize() + rng.choice("!@#$%&*") + word() + str(rng.randint(0, 99))
+        add(f"{plain()} {cased}{sign}{mark}", human, mark + tail, 1)
+        add(f"{plain()} {cased}{sign}", mixed(rng.randint(7, 14), string.ascii_letters + string.digits + "!@$"), " " + plain(), 1)
+        add(f"{plain()} {cased}{sign}{mark}", mixed(rng.randint(14, 32), rng.choice([string.ascii_letters, string.ascii_uppercase])), mark + tail, 1)
+        add(f"{plain()} Authorization: Bearer ", mixed(rng.randint(20, 40), string.ascii_letters + string.digits), " " + plain(), 1)
+        add(f"{plain()} {cased}{sign}", (word() + word() + word())[:12].ljust(6, "e"), " " + plain(), 0)
+        add(f"{plain()} {cased}{sign}{quote}", rng.choice(["required", "optional", "string", "os.environ[KEY]", "config.password", "get_token()", "settings.secret", "undefined", "process.env.TOKEN", "your password here", "none given yet", "${TOKEN}"]), quote + " " + plain(), 0)
     return out
 
 

@@ -123,6 +123,22 @@ def test_planted_secrets(spark, trees):
     assert X.redacted(df, trees).columns == df.columns and X.redacted(df.limit(0), trees).count() == 0 == X.findings(df.limit(0), trees).count()
 
 
+NAMED = [
+    ("DB_PASSWORD=", "Tr0ub4dor!", ""), ("Password: ", "hunter2x", ""), ('API_KEY="', "k3yV4lue9", '"'), ('secret_key = "', "QwErTyUiOpAsDfGhJkLz", '"'), ("TOKEN = \"", "ABCDEFGHIJKLMNOPQRSTUV", '"'), ("private_key: ", "abcdefghijkl", ""),
+    ("Authorization: Bearer ", "abcdefghijklmnopqrstuv", ""), ('password="', "P@ss$word99", '"'), ('password="', "abc123x$yZ9!kk", '"'), ("pwd='", "a,b;c(d)e 7", "'"), ("token=", "ab#1$c%9*|x,y;z", "&user=bob"), ('"token": "', "a1\\\"b2c3d4", '"'),
+]
+
+
+def test_candidates_after_names_are_whole(spark, trees):
+    df = spark.createDataFrame([(i, f"some words {a}{b}{c} and more") for i, (a, b, c) in enumerate(NAMED)], "doc_id long, text string")
+    rows = {r["doc_id"]: r["_found"] for r in X.scanned(df, trees).collect()}
+    assert rows == {i: [b] for i, (_, b, _) in enumerate(NAMED)}
+    clean = {r["doc_id"]: r["text"] for r in X.redacted(df, trees).collect()}
+    for i in (0, 2, 3, 7, 8):
+        a, _, c = NAMED[i]
+        assert clean[i] == f"some words {a}{X.PLACEHOLDER}{c} and more"
+
+
 def test_findings_lie_where_they_say(spark):
     path = "/root/testdata/sf0.01"  # the smallest table has no secrets
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()}
