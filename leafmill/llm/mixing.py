@@ -15,12 +15,16 @@ driver from a bounded sample of labelled rows and enter as literals.
 
 Cases: a null or empty text has no tokens, gets the posterior of a text without
 keywords, and counts nothing towards totals; null labels are passed over;
-without labels there is one domain and every rate is 1; repeated rows count
+without labels there is one domain and every rate is 1; every labelled domain
+is one of the model, and a target for any other is left out
+with a warning; repeated rows count
 each; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +35,8 @@ from ._shared import positional, written
 
 SAMPLE = 3000  #: labelled rows that the classifier learns from
 KEYWORDS = 24  #: for each domain
-MAX_DOMAINS = 32  #: the most frequent ones; all others are ``other``
+WIDE = 32  #: up to so many domains, expressions name each; beyond, they are over arrays
+COLUMNS = 1024  #: of one aggregation
 _LETTER = r"\p{L}"
 
 
@@ -63,14 +68,14 @@ def tokens(text: Column) -> Column:
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "domain", sample: int = SAMPLE) -> Domains:
-    """``labelled``: (doc_id, label). Learns from the ``sample`` rows of smallest hash."""
-    chosen = labelled.where(F.col(label).isNotNull()).groupBy(doc_id).agg(F.min(F.col(label).cast("string")).alias("_y")).orderBy(F.xxhash64(doc_id), doc_id).limit(sample)
-    rows = written(docs.select(doc_id, text).join(chosen, doc_id).select(F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"), "_y"), "labelled")
-    common = [r["_y"] for r in rows.groupBy("_y").count().orderBy(F.desc("count"), "_y").limit(MAX_DOMAINS).collect()]
-    if len(common) < 2:
-        return Domains(common or ["all"], [[]], [[0.0, 0.0]])
-    rows = rows.withColumn("_y", F.when(F.col("_y").isin(common), F.col("_y")).otherwise("other"))
+    """``labelled``: (doc_id, label). Learns from the ``sample`` rows of smallest hash, and one row of each domain."""
+    known = written(labelled.where(F.col(label).isNotNull()).groupBy(doc_id).agg(F.min(F.col(label).cast("string")).alias("_y")), "known")
+    each = known.groupBy("_y").agg(F.min(F.struct(F.xxhash64(doc_id).alias("h"), F.col(doc_id).alias("d"))).alias("s")).select(F.col("s.d").alias(doc_id), "_y")
+    chosen = known.orderBy(F.xxhash64(doc_id), doc_id).limit(sample).unionByName(each).distinct()
+    rows = written(docs.select(doc_id, text).join(F.broadcast(chosen), doc_id).select(F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"), "_y"), "labelled")
     names = sorted({r[0] for r in rows.select("_y").distinct().collect()})
+    if len(names) < 2:
+        return Domains(names or ["all"], [[]], [[0.0, 0.0]])
     each = rows.select("_y", F.explode(F.array_distinct(F.split("text", rf"[^{_LETTER}]+"))).alias("w")).where(F.col("w").rlike(f"^{_LETTER}{{1,20}}$"))
     size = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
     by_word = [F.count(F.when(F.col("_y") == y, 1)).alias(f"n{i}") for i, y in enumerate(names)]
@@ -94,11 +99,20 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", te
     return Domains(names, keywords, [[float(v) for v in row] for row in w])
 
 
+def total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+
 def posteriors(docs: DataFrame, model: Domains, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens`` and ``posterior``, an array over ``model.names``."""
     out = docs.withColumn("_hits", model.hits(F.col(text)))
     x = model.features()
     out = out.withColumn("_x", F.array(*x))
+    if len(model.weights) > WIDE:
+        weights = F.from_json(F.lit(json.dumps(model.weights)), "array<array<double>>")
+        out = out.withColumn("_z", F.transform(weights, lambda w: F.exp(total(F.zip_with(F.concat(F.col("_x"), F.array(F.lit(1.0))), w, lambda a, b: a * b)))))
+        out = out.withColumn("_t", total(F.col("_z")))
+        return out.withColumns({"n_tokens": tokens(F.col(text)), "posterior": F.transform("_z", lambda z: z / F.col("_t"))}).drop("_hits", "_x", "_z", "_t")
     scores = [sum((F.get("_x", F.lit(j)) * w for j, w in enumerate(row[:-1])), F.lit(0.0)) + row[-1] for row in model.weights]
     out = out.withColumn("_z", F.array(*(F.exp(s) for s in scores)))
     out = out.withColumn("_t", sum((F.get("_z", F.lit(j)) for j in range(len(scores))), F.lit(0.0)))
@@ -109,6 +123,10 @@ def rate(steps: list[list[float]], posterior: Column) -> Column:
     """The rate after projected steps r = max(0, r - posterior . step) from 1."""
     r = F.lit(1.0)
     for s in steps:
+        if len(s) > WIDE:
+            step = F.from_json(F.lit(json.dumps([float(v) for v in s])), "array<double>")
+            r = F.greatest(F.lit(0.0), r - total(F.zip_with(posterior, step, lambda a, b: a * b)))
+            continue
         r = F.greatest(F.lit(0.0), r - sum((F.get(posterior, F.lit(j)) * float(v) for j, v in enumerate(s)), F.lit(0.0)))
     return r
 
@@ -123,12 +141,16 @@ def fit_rates(rows: DataFrame, names: list[str], targets: dict[str, float] | Non
     """(steps for ``rate``, targets, shares reached) over ``rows`` (n_tokens, posterior), written as it is read each round. Totals are shares of the tokens there are."""
     j = len(names)
     p = [F.get("posterior", F.lit(i)) for i in range(j)]
-    first = rows.agg(F.sum("n_tokens"), *(F.sum(F.col("n_tokens") * a) for a in p), *(F.sum(F.col("n_tokens") * a * b) for a in p for b in p)).first()
-    total = float(first[0] or 0)
-    if not total:
+    if targets is not None and (unknown := sorted(n for n, v in targets.items() if v and n not in names)):
+        warnings.warn(f"targets of domains without labelled rows are left out: {', '.join(unknown)}", stacklevel=2)
+    sums = [F.sum("n_tokens"), *(F.sum(F.col("n_tokens") * a) for a in p), *(F.sum(F.col("n_tokens") * a * b) for a in p for b in p)]
+    step = COLUMNS + 1 + WIDE  # one aggregation up to WIDE domains
+    first = [v for i in range(0, len(sums), step) for v in rows.agg(*sums[i : i + step]).first()]
+    whole = float(first[0] or 0)
+    if not whole:
         return [], np.full(j, 1.0 / j), np.zeros(j)
-    at = np.array(first[1 : 1 + j], float) / total
-    moments = np.array(first[1 + j :], float).reshape(j, j) / total
+    at = np.array(first[1 : 1 + j], float) / whole
+    moments = np.array(first[1 + j :], float).reshape(j, j) / whole
     goal = tempered(at) if targets is None else np.array([targets.get(n, 0.0) for n in names])
     goal = goal / goal.sum()
     weight = np.linalg.inv(moments + 1e-9 * np.eye(j))
@@ -138,7 +160,7 @@ def fit_rates(rows: DataFrame, names: list[str], targets: dict[str, float] | Non
             break
         steps.append((weight @ (at - goal)).tolist())
         r = rate(steps, F.col("posterior"))
-        at = np.array(rows.select(r.alias("r"), "n_tokens", "posterior").agg(*(F.sum(F.col("n_tokens") * F.col("r") * a) for a in p)).first(), float) / total
+        at = np.array(rows.select(r.alias("r"), "n_tokens", "posterior").agg(*(F.sum(F.col("n_tokens") * F.col("r") * a) for a in p)).first(), float) / whole
     return steps, goal, at
 
 

@@ -261,6 +261,21 @@ def test_least_squares_has_no_better_rates(spark, sf):
     assert loss(r) <= loss(step) + 1e-3
 
 
+def test_every_domain_of_many_meets_its_target(spark):
+    names = [f"d{k:02d}" for k in range(40)]
+    rows = [(k * 20 + i, f"{chr(97 + k % 26) * (4 + k // 26)} " * 10, n) for k, n in enumerate(names) for i in range(40 if k < 2 else 20)]
+    rows = [(i, text, n) for i, (_, text, n) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    targets = {n: 1.0 + (k >= 35) for k, n in enumerate(names)}
+    got: dict = {}
+    for r in M.mixed(df, df, targets).collect():
+        got[r["domain"]] = got.get(r["domain"], 0.0) + r["rate"] * r["n_tokens"]
+    whole = sum(targets.values())
+    assert set(got) == set(names) and all(abs(got[n] / sum(got.values()) - targets[n] / whole) < 0.3 * targets[n] / whole for n in names)
+    with pytest.warns(UserWarning, match="nowhere"):
+        M.mixed(df, df, {"d00": 1.0, "nowhere": 1.0})
+
+
 def test_mixing_of_odd_tables(spark):
     rows = [(i, ("the and of to " if i % 2 else "der die das und ") * 20, "a.b`c" if i % 2 else "w") for i in range(40)] + [(50, None, None), (51, "", "w"), (None, "the of", None), (3, "the and of", None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, domain string")
