@@ -8,13 +8,18 @@ which a one-dimensional logistic maps to the labels' scale.
 
 Labels are of documents, so training starts with every line taking its
 document's label, and then lets good-looking lines of bad documents change
-sides. It sees a bounded sample: the ``sample`` labelled rows of smallest hash,
-of each its first ``LINES`` lines; scoring reads all lines of all rows. The
-doc_id decides only which rows may be learnt from; lang and source are unused.
+sides. It sees a bounded sample: the ``sample`` labelled documents of smallest
+hash, or fewer where these have more than ``TRAINED`` lines, each with all its
+lines; chains longer than ``LINES`` are trained in runs of that many. Scoring
+reads all lines of all rows as one chain each. The doc_id decides only which
+rows may be learnt from; lang and source are unused.
 
 Cases: a null or empty text is one empty line; null labels are passed over,
 contradicting ones averaged; without labels of both kinds every score is 0.5;
-repeated rows are scored each; a null doc_id counts as held out.
+repeated rows are scored each; of texts that share a labelled doc_id the least
+is learnt from; a null doc_id counts as held out; very long texts are scored
+whole; other columns pass through whatever their names; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -30,10 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._shared import positional
+from ._shared import positional, written
 
-LINES = 64  #: lines of a document used in training
-SAMPLE = 2000  #: labelled documents used in training
+LINES = 64  #: lines of a run that training handles at once
+SAMPLE = 2000  #: labelled documents used in training, at most
+TRAINED = 500_000  #: lines of these, at most, but for the first document
 THRESHOLD = 0.3
 
 WIDTH = 13
@@ -164,15 +170,18 @@ def train(docs: list[tuple[np.ndarray, np.ndarray, float]], steps: int = 80, rou
     labels = np.array([y for *_, y in docs])
     if not len(docs) or labels.min() == labels.max():
         return None
-    n = max(len(x) for x, *_ in docs)
-    x = np.zeros((len(docs), n, docs[0][0].shape[1]))
-    weight, lengths = np.zeros((len(docs), n)), np.array([len(f) for f, *_ in docs])
-    for i, (f, w, _) in enumerate(docs):
+    runs = [(i, f[k : k + LINES], w[k : k + LINES]) for i, (f, w, _) in enumerate(docs) for k in range(0, len(f), LINES)]
+    of = np.array([i for i, *_ in runs])
+    n = max(len(f) for _, f, _ in runs)
+    x = np.zeros((len(runs), n, docs[0][0].shape[1]))
+    weight, lengths = np.zeros((len(runs), n)), np.array([len(f) for _, f, _ in runs])
+    for i, (_, f, w) in enumerate(runs):
         x[i, : len(f)], weight[i, : len(f)] = f, w
     live = np.arange(n)[None, :] < lengths[:, None]
+    good = labels[of]
     share = np.where(labels > 0.5, 0.5 / max(1, (labels > 0.5).sum()), 0.5 / max(1, (labels <= 0.5).sum()))  # both kinds count alike
-    share = share / lengths
-    goal = np.where(live, labels[:, None], 0.0)
+    share = (share / np.bincount(of, lengths))[of]
+    goal = np.where(live, good[:, None], 0.0)
     unary, chain = np.zeros(x.shape[2]), np.zeros((2, 2))
     for r in range(rounds):
         m, v, mc, vc = np.zeros_like(unary), np.zeros_like(unary), np.zeros((2, 2)), np.zeros((2, 2))
@@ -187,8 +196,8 @@ def train(docs: list[tuple[np.ndarray, np.ndarray, float]], steps: int = 80, rou
             unary, chain = unary + step * m / (np.sqrt(v) + 1e-9), chain + step * mc / (np.sqrt(vc) + 1e-9)
         p, _ = forward_backward(x @ unary, lengths, chain)
         if r < rounds - 1:
-            goal = np.where(live & ((labels[:, None] > 0.5) | (p > 0.8)), 1.0, 0.0)
-    quality = (p * weight).sum(axis=1) / weight.sum(axis=1)
+            goal = np.where(live & ((good[:, None] > 0.5) | (p > 0.8)), 1.0, 0.0)
+    quality = np.bincount(of, (p * weight).sum(axis=1)) / np.bincount(of, weight.sum(axis=1))
     a, b = 1.0, 0.0
     z = np.stack([quality, np.ones_like(quality)], axis=1)
     for _ in range(50):  # Newton's method
@@ -208,18 +217,24 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         .orderBy(F.xxhash64(doc_id), doc_id)
         .limit(sample)
     )
+    # One text for each labelled id, however often the id is repeated: ``sample`` rows at most.
+    rows = docs.select(doc_id, text).join(F.broadcast(known), doc_id).groupBy(doc_id, "_y").agg(F.min(F.coalesce(F.col(text), F.lit(""))).alias("_text"))
+    rows = written(rows.select(F.xxhash64(doc_id).alias("_h"), "_y", "_text"), "labelled")
+    upto, lines = None, 0
+    for r in rows.select("_h", (F.regexp_count("_text", F.lit("\n")) + 1).alias("lines")).orderBy("_h").collect():
+        lines += r["lines"]
+        if upto is not None and lines > TRAINED:
+            break
+        upto = r["_h"]
     schema = T.StructType([T.StructField("x", T.BinaryType()), T.StructField("w", T.BinaryType()), T.StructField("y", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            xs, ws = [], []
-            for t in b.column(0).to_pylist():
-                x, w = line_features("\n".join((t or "").split("\n", LINES)[:LINES]))
-                xs.append(x.astype("<f4").tobytes())
-                ws.append(w.astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(xs, pa.binary()), pa.array(ws, pa.binary()), b.column(1).cast(pa.float64())], names=schema.names)
-
-    rows = docs.select(doc_id, text).join(known, doc_id).select(text, "_y").mapInArrow(run, schema).collect()  # ``sample`` rows at most, but for repeated ids
+            for t, y in zip(b.column(0), b.column(1)):
+                x, w = line_features(t.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array([x.astype("<f4").tobytes()], pa.binary()), pa.array([w.astype("<f4").tobytes()], pa.binary()), pa.array([y.as_py()], pa.float64())], names=schema.names)
+
+    rows = rows.where(F.col("_h") <= upto).select("_text", "_y").mapInArrow(run, schema).collect() if upto is not None else []
     found = [(with_neighbours(np.frombuffer(r["x"], "<f4").reshape(-1, WIDTH).astype(float)), np.frombuffer(r["w"], "<f4").astype(float), r["y"]) for r in rows]
     return train(sorted(found, key=lambda f: (f[2], len(f[0]), f[0].sum())))
 

@@ -223,6 +223,16 @@ def test_quality_of_odd_tables(spark):
 # --- mixing -------------------------------------------------------------------------------------------------------------------------------------
 
 
+def test_quality_learns_from_all_lines_and_one_text_of_an_id(spark):
+    good, bad = "A plain sentence stands on this line, and it ends.", "CLICK!!! 55 ||| $$$ WIN"
+    rows = [(i, "\n".join([good] * 500)) for i in range(1, 40, 2)] + [(i, "\n".join([good] * 400 + [bad] * 100)) for i in range(2, 40, 2)]
+    docs = spark.createDataFrame(rows + [(1, rows[0][1])] * 5, "doc_id long, text string").unionByName(spark.range(20_000).select(F.lit(3).cast("long").alias("doc_id"), F.lit(good).alias("text")))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, quality int")
+    model = Y.fit(docs, labels)
+    line = model.marginals(Y.with_neighbours(Y.line_features("\n".join([good] * 20 + [bad] * 20))[0]))
+    assert line[:15].mean() > 0.5 > line[-15:].mean() and model.score(rows[0][1]) > model.score(rows[-1][1])
+
+
 def test_posteriors_know_the_languages(spark):
     path = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text", "lang")
