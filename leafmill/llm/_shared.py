@@ -49,6 +49,11 @@ def row_marks(df: DataFrame) -> list[Column]:
     return [F.xxhash64(holes, *kept).alias("_mark_a"), F.xxhash64(F.lit("again"), holes, *kept).alias("_mark_b")]
 
 
+def one_of_equal(marked: DataFrame) -> DataFrame:
+    """One of each set of rows with equal ``row_marks``. Copies go on the reading side already, so that no number of them meets in one task."""
+    return marked.groupBy("_mark_a", "_mark_b").agg(F.any_value(F.struct(*(c for c in marked.columns if not c.startswith("_mark_")))).alias("_row")).select("_mark_a", "_mark_b", "_row.*")
+
+
 def local_rows(spark: SparkSession, rows: list[dict], schema: str) -> DataFrame:
     """A few rows from the driver, as a literal of the plan."""
     return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{', '.join(':'.join(c.split()) for c in schema.split(', '))}>>")))

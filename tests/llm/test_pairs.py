@@ -89,6 +89,20 @@ def test_links_within_the_distance(spark, most):
     assert [found[v] for v in signed] == [want[i] for i in range(len(values))]
 
 
+@pytest.mark.parametrize("most, segments, hot", [(2, 2, 64), (2, 2, 3), (2, 3, 1), (2, 4, 5), (1, 1, 2), (1, 2, 1), (2, 2, 0)])
+def test_links_by_any_segments_and_bucket_bounds(spark, most, segments, hot):
+    rng = random.Random(10 * segments + hot)
+    base = rng.getrandbits(64)
+    prints = {base ^ (rng.getrandbits(32) & rng.getrandbits(32) & rng.getrandbits(32)) << rng.choice((0, 32)) for _ in range(150)}  # segments that many share
+    prints |= {x ^ 1 << rng.randrange(64) ^ 1 << rng.randrange(64) for x in list(prints)[:80]} | {rng.getrandbits(64) for _ in range(30)} | {0, 1 << 63, (1 << 64) - 1}
+    signed = [x - (1 << 64) if x >> 63 else x for x in prints]
+    df = spark.createDataFrame([(x,) for x in signed], "simhash long")
+    found = [(r["src"], r["dst"]) for r in S.ball_edges(df, max_distance=most, segments=segments, hot=hot).collect()]
+    near = [(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= most]
+    assert all(((a ^ b) & (2**64 - 1)).bit_count() <= most for a, b in found)
+    assert roots(signed, found) == roots(signed, near) and near
+
+
 def test_simhash_rows(spark):
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(50, TEXTS[0]), (50, TEXTS[0]), (None, "alone here now"), (7, "other text of an id that repeats")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
