@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import jsonx as J
 from ..functions import predicates as P
 from ..functions import prompts as R
+from .chunk import numbered_items
 
 
 class Recognizer(Protocol):
@@ -195,7 +196,7 @@ def dictionary_entities(names: DataFrame, name: str = "name") -> Callable[[DataF
     def add(df: DataFrame, text: str) -> DataFrame:
         keys = [c for c in df.columns if c != text]
         pairs = F.zip_with(F.regexp_extract_all(text, F.lit(NAME), 0), F.regexp_extract_all(text, F.lit(NAME), 1), lambda a, b: F.concat(a, F.lit(" "), b))
-        mentions = df.select(*keys, F.explode(F.array_distinct(pairs)).alias("_name"))
+        mentions = numbered_items(df, keys, F.array_distinct(pairs), "_at", "_name").drop("_at")
         known = names.select(F.col(name).alias("_name")).distinct()
         found = mentions.join(known, "_name").groupBy(*keys).agg(F.array_sort(F.collect_set("_name")).alias("entities"))
         same = [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys]

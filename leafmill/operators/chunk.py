@@ -8,13 +8,18 @@ from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Types
 
 from ..functions.text import strip
 
 
+def numbered_items(df: DataFrame, keep: list[str], items: Column, number: str, item: str) -> DataFrame:
+    """(keep, number, item): a row for each of ``items``. The outer generator, as the inner one makes Spark work out its whole input once more, to filter out empty ones."""
+    return df.select(*keep, F.posexplode_outer(items).alias(number, item)).where(F.col(number).isNotNull())
+
+
 def group_major(chunks: Column, size: int = 1000, mode: str = "compat") -> Column:
     """Chunks joined greedily by a blank line while they fit. ``compat`` starts with an empty chunk where the first is too long."""
     start = F.struct(F.lit("").alias("cur"), F.array().cast("array<string>").alias("done"))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions import text as T
-from .chunk import group_major
+from .chunk import group_major, numbered_items
 
 NO_DIVISION = "NO DIVISION FOUND"
 NO_FAMILY = "No family found"
@@ -35,10 +35,13 @@ def division_pairs(text: Column, pattern: str, mode: str = "compat") -> Column:
         own = F.zip_with(names, F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda d, t: F.struct(d.alias("div"), F.coalesce(t, F.lit("")).alias("content")))
         before = F.when(T.strip(F.get(parts, F.lit(0))) != "", F.array(F.struct(F.lit(NO_DIVISION).alias("div"), F.get(parts, F.lit(0)).alias("content")))).otherwise(F.slice(own, 1, 0))
         return F.concat(before, own)
-    kept = F.filter(with_captures(text, pattern), P.kept_fragment)
-    n = F.floor(F.size(kept) / 2).cast("int")
-    pair = lambda i: F.struct(F.get(kept, 2 * i).alias("div"), F.get(kept, 2 * i + 1).alias("content"))
-    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), pair)).otherwise(F.transform(F.array().cast("array<int>"), pair))
+    return paired(F.filter(with_captures(text, pattern), P.kept_fragment))
+
+
+def paired(kept: Column) -> Column:
+    """The first and second, third and fourth fragment and so on; a last one without a partner is left out."""
+    both = F.zip_with(kept, F.slice(kept, 2, F.greatest(F.size(kept) - 1, F.lit(0))), lambda a, b: F.struct(a.alias("div"), b.alias("content")))
+    return F.filter(both, lambda p, i: (i % 2 == 0) & p["content"].isNotNull())
 
 
 def split_by_divisions(df: DataFrame, keys: list[str], divisions: list[str], text: str = "text", mode: str = "compat") -> DataFrame:
@@ -54,7 +57,12 @@ def orphans(df: DataFrame, keys: list[str], divisions: list[str], text: str = "t
 
 
 def _carried(df: DataFrame, keys: list[str], divisions: list[str], text: str, mode: str) -> DataFrame:
-    pairs = df.select(*keys, F.posexplode(division_pairs(F.col(text), division_pattern(divisions), mode)).alias("ord", "p")).select(*keys, "ord", F.col("p.div").alias("div"), F.col("p.content").alias("content"))
+    pattern = division_pattern(divisions)
+    if mode == "compat":  # a column of its own, so that patterns run once over a text
+        both = df.select(*keys, F.filter(with_captures(F.col(text), pattern), P.kept_fragment).alias("_kept")).select(*keys, paired(F.col("_kept")).alias("_pairs"))
+    else:
+        both = df.select(*keys, division_pairs(F.col(text), pattern, mode).alias("_pairs"))
+    pairs = numbered_items(both, keys, F.col("_pairs"), "ord", "p").select(*keys, "ord", F.col("p.div").alias("div"), F.col("p.content").alias("content"))
     heading = P.is_heading(F.col("div"))
     so_far = Window.partitionBy(*keys).orderBy("ord")
     name = F.upper(F.col("div")) if mode == "safe" else F.col("div")
@@ -74,13 +82,13 @@ def family_parts(text: Column, mode: str = "compat") -> Column:
 
 def split_by_families(df: DataFrame, keys: list[str], text: str = "text", mode: str = "compat") -> DataFrame:
     """(keys, fam_ord, family, text). A projection: no shuffle."""
-    return df.select(*keys, F.posexplode(family_parts(F.col(text), mode)).alias("fam_ord", "p")).select(*keys, "fam_ord", F.col("p.family").alias("family"), F.col("p.text").alias("text"))
+    return numbered_items(df, keys, family_parts(F.col(text), mode), "fam_ord", "p").select(*keys, "fam_ord", F.col("p.family").alias("family"), F.col("p.text").alias("text"))
 
 
 def split_records(df: DataFrame, keys: list[str], text: str = "text", entities: str | None = None) -> DataFrame:
     """(keys, rec, record). A record starts at each line that starts with an entity of the row's array ``entities``, or without it at each species-shaped line; lines before the first are a record too."""
     head = P.starts_record(F.col("line"), F.filter(F.col(entities), P.species_shaped)) if entities else P.starts_shaped_record(F.col("line"))
-    lines = df.select(*keys, *([entities] if entities else []), F.posexplode(F.split(text, "\n")).alias("line_no", "line")).where(P.not_blank(F.col("line")))
+    lines = numbered_items(df, [*keys, *([entities] if entities else [])], F.split(text, "\n"), "line_no", "line").where(P.not_blank(F.col("line")))
     so_far = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     marked = lines.select(*keys, "line_no", T.strip(F.col("line")).alias("line"), head.cast("int").alias("head"))
     numbered = marked.withColumn("rec", F.sum("head").over(so_far))
@@ -111,7 +119,7 @@ def structure(df: DataFrame, keys: list[str], divisions: list[str], text: str =
 
 def text_blocks(struct: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, div_ord, fam_ord, block, division, family, content)."""
-    return struct.select(*keys, "div_ord", "fam_ord", F.posexplode("species").alias("block", "content"), "division", "family").select(*keys, "div_ord", "fam_ord", "block", "division", "family", "content")
+    return numbered_items(struct, [*keys, "div_ord", "fam_ord", "division", "family"], F.col("species"), "block", "content").select(*keys, "div_ord", "fam_ord", "block", "division", "family", "content")
 
 
 def lines(text: Column) -> Column:

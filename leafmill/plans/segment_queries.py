@@ -20,7 +20,7 @@ def plain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exploded(df: DataFrame, items, name: str) -> DataFrame:
-    return df.select("doc_id", F.posexplode(items).alias("i", name)).select("doc_id", F.col("i").cast("long").alias("i"), name)
+    return C.numbered_items(df, ["doc_id"], items, "i", name).select("doc_id", F.col("i").cast("long").alias("i"), name)
 
 
 def q_split_div(spark: SparkSession, sf_dir: str) -> DataFrame:
