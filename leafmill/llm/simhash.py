@@ -123,7 +123,7 @@ def ball_edges(prints: DataFrame, column: str = "simhash", max_distance: int = 2
         raise ValueError("as many segments as max_distance at least, and no more than bits")
     own = segment_keys(F.col(column), segments)
     table = prints.select(F.col(column).alias("q"), F.explode(F.array(*(k for k, _ in own))).alias("key"))
-    probes = prints.select(F.col(column).alias("p"), F.explode(F.concat(*(ball(k, w, radius) for k, w in own))).alias("key"))
+    probes = prints.select(F.col(column).alias("p"), F.explode_outer(F.concat(*(ball(k, w, radius) for k, w in own))).alias("key"))
     full = written(table.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key"), "hot-buckets")
     crowded = bool(full.limit(1).count())
     if crowded:
