@@ -14,11 +14,14 @@ All in DataFrame operations; the classifier's few weights are fitted on the
 driver from a bounded sample of labelled rows and enter as literals.
 
 Cases: a null or empty text has no tokens, gets the posterior of a text without
-keywords, and counts nothing towards totals; null labels are passed over;
-without labels there is one domain and every rate is 1; every labelled domain
-is one of the model, and a target for any other is left out
-with a warning; repeated rows count
-each; an empty table gives no rows.
+keywords, and counts nothing towards totals; null labels are passed over, and of
+texts that share a labelled id the least is learnt from; without labels there is
+one domain and every rate is 1; every labelled domain is one of the model, and a
+target for any other is left out with a warning; targets that no nonnegative
+rates reach give a warning with the shares reached; of equal posteriors the
+first domain by name is named; very long texts are read whole; repeated rows
+count each; other columns are kept whatever their names; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -35,6 +38,7 @@ from ._shared import positional, written
 
 SAMPLE = 3000  #: labelled rows that the classifier learns from
 KEYWORDS = 24  #: for each domain
+NEAR = 1e-3  #: of all tokens, by which a domain's share may miss its target without a warning
 WIDE = 32  #: up to so many domains, expressions name each; beyond, they are over arrays
 COLUMNS = 1024  #: of one aggregation
 _LETTER = r"\p{L}"
@@ -72,11 +76,13 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", te
     known = written(labelled.where(F.col(label).isNotNull()).groupBy(doc_id).agg(F.min(F.col(label).cast("string")).alias("_y")), "known")
     each = known.groupBy("_y").agg(F.min(F.struct(F.xxhash64(doc_id).alias("h"), F.col(doc_id).alias("d"))).alias("s")).select(F.col("s.d").alias(doc_id), "_y")
     chosen = known.orderBy(F.xxhash64(doc_id), doc_id).limit(sample).unionByName(each).distinct()
-    rows = written(docs.select(doc_id, text).join(F.broadcast(chosen), doc_id).select(F.lower(F.coalesce(F.col(text), F.lit(""))).alias("text"), "_y"), "labelled")
+    # One text for each chosen id, however often the id is repeated.
+    rows = docs.select(doc_id, text).join(F.broadcast(chosen), doc_id).groupBy(doc_id, "_y").agg(F.min(F.lower(F.coalesce(F.col(text), F.lit("")))).alias("text"))
+    rows = written(rows.select("text", "_y"), "labelled")
     names = sorted({r[0] for r in rows.select("_y").distinct().collect()})
     if len(names) < 2:
         return Domains(names or ["all"], [[]], [[0.0, 0.0]])
-    each = rows.select("_y", F.explode(F.array_distinct(F.split("text", rf"[^{_LETTER}]+"))).alias("w")).where(F.col("w").rlike(f"^{_LETTER}{{1,20}}$"))
+    each = rows.select("_y", F.explode_outer(F.array_distinct(F.split("text", rf"[^{_LETTER}]+"))).alias("w")).where(F.col("w").rlike(f"^{_LETTER}{{1,20}}$"))
     size = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
     by_word = [F.count(F.when(F.col("_y") == y, 1)).alias(f"n{i}") for i, y in enumerate(names)]
     counts = each.groupBy("w").agg(*by_word)
@@ -155,12 +161,13 @@ def fit_rates(rows: DataFrame, names: list[str], targets: dict[str, float] | Non
     goal = goal / goal.sum()
     weight = np.linalg.inv(moments + 1e-9 * np.eye(j))
     steps: list[list[float]] = []
-    for _ in range(rounds):
-        if np.abs(at - goal).max() < tolerance:
-            break
+    while np.abs(at - goal).max() >= tolerance and len(steps) < rounds:
         steps.append((weight @ (at - goal)).tolist())
         r = rate(steps, F.col("posterior"))
         at = np.array(rows.select(r.alias("r"), "n_tokens", "posterior").agg(*(F.sum(F.col("n_tokens") * F.col("r") * a) for a in p)).first(), float) / whole
+    if (off := np.abs(at - goal).max()) > NEAR:
+        worst = int(np.abs(at - goal).argmax())
+        warnings.warn(f"targets are missed by up to {off:.4f} after {len(steps)} rounds: {names[worst]} has {at[worst]:.4f} for {goal[worst]:.4f}", stacklevel=2)
     return steps, goal, at
 
 
@@ -183,12 +190,11 @@ def mixed(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
 def resampled(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, doc_id: str = "doc_id", text: str = "text", label: str = "domain") -> DataFrame:
     """``docs`` with each row as often as its rate says."""
     model = fit_domains(docs, labelled, doc_id, text, label)
-    rows = written(posteriors(docs.select(text), model, text).select("n_tokens", "posterior"), "posteriors")
-    steps, _, _ = fit_rates(rows, model.names, targets)
     named = positional(docs)
     at = dict(zip(docs.columns, named.columns))
-    own = posteriors(named, model, at[text])
+    # Texts are read for keywords once: rows are written with their posteriors, and both the fit and the resampling read that.
+    rows = written(posteriors(named, model, at[text]), "posteriors")
+    steps, _, _ = fit_rates(rows.select("n_tokens", "posterior"), model.names, targets)
     n = copies(rate(steps, F.col("posterior")), F.col(at[doc_id]))
-    # The row number keeps the filter above the projection: pushed below, it would work out rates and keywords anew.
-    taken = own.select(*named.columns, n.alias("_copies"), F.monotonically_increasing_id().alias("_row")).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    taken = rows.select(*named.columns, n.alias("_copies")).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     return taken.select(named.columns).toDF(*docs.columns)
