@@ -5,6 +5,9 @@ from __future__ import annotations
 import json
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,18 +24,39 @@ def shared_dir(spark: SparkSession) -> str:
         root = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = root.get() if root.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="leafmill-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
-def shared_path(spark: SparkSession, what: str) -> str:
-    return f"{shared_dir(spark)}/leafmill/{what}-{uuid.uuid4().hex}"
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written inside, but for what is to last, is deleted at the end."""
+    own: list[str] = []
+    before = _SCRATCH.set(own)
+    try:
+        yield
+    finally:
+        _SCRATCH.reset(before)
+        for path in own:
+            drop_path(spark, path)
+
+
+def shared_path(spark: SparkSession, what: str, lasting: bool = False) -> str:
+    path = f"{shared_dir(spark)}/leafmill/{what}-{uuid.uuid4().hex}"
+    if not lasting and _SCRATCH.get() is not None:
+        _SCRATCH.get().append(path)
+    return path
+
+
+def written(df: DataFrame, what: str, lasting: bool = False) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again: its lineage is cut and it is computed once."""
-    path = shared_path(df.sparkSession, what)
+    path = shared_path(df.sparkSession, what, lasting)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -326,7 +326,8 @@ def placed(light: DataFrame, window: int, buckets: int | None = None) -> DataFra
     upto = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     before = counted.select("length", "_bucket", (F.sum("n").over(upto) - F.col("n")).alias("_before"))
     within = F.row_number().over(Window.partitionBy("length", "_bucket").orderBy("_row"))
-    ranked = light.withColumn("_within", within - 1).join(before, ["length", "_bucket"]).select("_row", "length", (F.col("_before") + F.col("_within")).cast("long").alias("_rank"))
+    # Merged, as counts of a length grow with the buckets: the side has the window's partitions already.
+    ranked = light.withColumn("_within", within - 1).join(before.hint("merge"), ["length", "_bucket"]).select("_row", "length", (F.col("_before") + F.col("_within")).cast("long").alias("_rank"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         WordTokenizer._made.clear()  # this worker may have been a tokenizing one

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import connected_components, one_of_equal, positional, row_marks, written
+from ._shared import connected_components, one_of_equal, positional, row_marks, scratch, written
 
 _ASCII_LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _WORDS = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -158,8 +158,9 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", max
     rows = positional(docs)
     one, body = (rows.columns[docs.columns.index(c)] for c in (doc_id, text))
     marked = rows.select("*", *row_marks(rows))
-    prints = written(fingerprints(marked, body, keep=[one, "_mark_a", "_mark_b"]), "simhash")
-    groups = components(prints, one, max_distance=max_distance)
-    first = F.min(F.struct(F.col(one).isNull().alias("none"), one, "_mark_a", "_mark_b")).alias("lead")
-    keep = prints.join(groups, "simhash").groupBy("root").agg(first).select("lead._mark_a", "lead._mark_b")
+    with scratch(docs.sparkSession):
+        prints = written(fingerprints(marked, body, keep=[one, "_mark_a", "_mark_b"]), "simhash")
+        groups = components(prints, one, max_distance=max_distance)
+        first = F.min(F.struct(F.col(one).isNull().alias("none"), one, "_mark_a", "_mark_b")).alias("lead")
+        keep = written(prints.join(groups, "simhash").groupBy("root").agg(first).select("lead._mark_a", "lead._mark_b"), "leads", lasting=True)
     return one_of_equal(marked).join(keep, ["_mark_a", "_mark_b"], "left_semi").select(rows.columns).toDF(*docs.columns)
