@@ -13,8 +13,11 @@ that the total length holds, joins them, and decodes the chunked framing.
 
 Cases: a null payload is empty; an empty payload is a record like any other;
 rows that repeat an id and a payload are one response and revisits of it; a
-null id is written as ``-`` and sorts last; a payload may hold any bytes,
-record headers among them; an empty table gives an archive without records.
+null id is written as ``-`` and sorts last; other ids are percent-encoded in
+record ids, so that they may hold any characters; line ends and other control
+characters in a url are percent-encoded in its header, and stay so when read; a
+payload may hold any bytes, record headers among them; extra columns are not
+read, whatever their names; an empty table gives an archive without records.
 """
 
 from __future__ import annotations
@@ -23,7 +26,9 @@ import base64
 import gzip
 import hashlib
 import json
+import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 import pyarrow as pa
@@ -68,9 +73,17 @@ def dechunked(data: bytes) -> bytes:
         at += size + 2
 
 
+_CONTROL = re.compile(r"[\x00-\x1f\x7f]")
+
+
+def header_value(value: str) -> str:
+    """``value`` on one line."""
+    return _CONTROL.sub(lambda c: f"%{ord(c[0]):02X}", value)
+
+
 def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     """One record, without the two line ends that follow its block."""
-    head = "".join(f"{k}: {v}\r\n" for k, v in [*headers, ("Content-Length", str(len(block)))])
+    head = "".join(f"{k}: {header_value(v)}\r\n" for k, v in [*headers, ("Content-Length", str(len(block)))])
     return b"WARC/1.1\r\n" + head.encode("utf-8") + b"\r\n" + block
 
 
@@ -136,7 +149,8 @@ def http_payload(block: bytes) -> bytes:
 
 
 def _name(page_id: str | None, mark: str, copy: int = 0) -> str:
-    return f"urn:page:{'-' if page_id is None else page_id}:{mark}" + f":copy{copy}" * bool(copy)
+    one = "-" if page_id is None else quote(page_id, safe="").replace("-", "%2D")
+    return f"urn:page:{one}:{mark}" + f":copy{copy}" * bool(copy)
 
 
 def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: str = "url", payload: str = "html", revisit_from: int = 0, segment: int = SEGMENT) -> None:
@@ -232,7 +246,7 @@ def resolved(records: DataFrame) -> DataFrame:
 
 def page_of(column):
     """The id that a record id of ``write_archives`` holds, as a string; null for none."""
-    return F.nullif(F.split_part(column, F.lit(":"), F.lit(3)), F.lit("-"))
+    return F.url_decode(F.nullif(F.split_part(column, F.lit(":"), F.lit(3)), F.lit("-")))
 
 
 def round_trip(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:

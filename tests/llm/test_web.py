@@ -176,3 +176,10 @@ def test_chunked_framing():
 
 def test_op4_against_sql(spark, sf):
     assert difference(spark, Q.op4_warc, Q.OP4, sf) == ""
+
+
+def test_headers_of_odd_urls_and_ids(spark):
+    rows = [("a:b", "http://a/\r\n\r\nx", "one"), ("-", "http://a/\nWARC-Type: revisit", "two"), (None, None, "three"), ("é %3A +", "http://b/\x00", "two"), ("-5", "x", "one")]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string").withColumn("sha", F.lit("kept"))
+    found = {r["page_id"]: (r["record_type"], r["refers_to"], r["payload_bytes"]) for r in W.round_trip(df).collect()}
+    assert found == {"a:b": ("revisit", "-5", 3), "-5": ("response", None, 3), "-": ("response", None, 3), None: ("response", None, 5), "é %3A +": ("revisit", "-", 3)}
