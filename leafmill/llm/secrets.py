@@ -195,8 +195,9 @@ def scanned(docs: DataFrame, trees: list, text: str = "text", path: str | None =
 def findings(docs: DataFrame, trees: list, doc_id: str = "doc_id", text: str = "text", path: str | None = "source", limit: float = 0.5) -> DataFrame:
     """(doc_id, start, length, secret, probability) of each secret, start in code points."""
     rows = scanned(docs.select(doc_id, text, *([path] if path and path in docs.columns and path not in (doc_id, text) else [])), trees, text, path)
-    rows = rows.where(F.size("_found") > 0).withColumn("_row", F.monotonically_increasing_id())
-    one = rows.select(F.col(doc_id).alias("doc_id"), "_row", F.posexplode(F.arrays_zip(F.slice("_pieces", F.lit(1), F.size("_found")).alias("a"), F.col("_found").alias("f"), F.col("_p").alias("p"))).alias("i", "c"))
+    # Outer, as a filter on the candidates, and the one that Spark adds for posexplode, would be pushed below and match each text once more.
+    rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    one = rows.select(F.col(doc_id).alias("doc_id"), "_row", F.posexplode_outer(F.arrays_zip(F.slice("_pieces", F.lit(1), F.size("_found")).alias("a"), F.col("_found").alias("f"), F.col("_p").alias("p"))).alias("i", "c")).where("i is not null")
     one = one.select("doc_id", "_row", "i", F.length("c.a").alias("gap"), F.col("c.f").alias("secret"), F.col("c.p").alias("probability"))
     so_far = Window.partitionBy("_row").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)  # one text's candidates
     at = F.sum(F.col("gap") + F.length("secret")).over(so_far) - F.length("secret")
