@@ -75,7 +75,8 @@ def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
 
 def signed(texts: DataFrame, key: list[str], text: str, samples: int = SAMPLES) -> DataFrame:
     """(key, fingerprint) of each row of ``texts``; rows without words are left out."""
-    terms = texts.select(*key, F.explode(words(F.col(text))).alias("_w")).where("_w <> ''").select(*key, F.xxhash64("_w").alias("_w"))
+    # Outer, as explode makes Spark split each text once more, to filter out empty ones.
+    terms = texts.select(*key, F.explode_outer(words(F.col(text))).alias("_w")).where("_w <> ''").select(*key, F.xxhash64("_w").alias("_w"))
     counted = terms.groupBy(*key, "_w").agg(F.count("*").alias("_n"))
     least = counted.groupBy(*key).agg(*(F.min(c).alias(f"_s{k}") for k, c in enumerate(sample_keys(F.col("_w"), F.col("_n").cast("double"), samples))))
     return least.select(*key, signature([F.col(f"_s{k}") for k in range(samples)]).alias("fingerprint"))
@@ -130,7 +131,7 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     bodies = [F.col("text"), F.col("edited"), *pieces]
     kinds = [0, 1, *range(_PIECES, _PIECES + len(pieces))]
     rows = base.select("bucket", "rn", F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), b.alias("body")) for k, b in zip(kinds, bodies)))).alias("s"))
-    terms = rows.select("bucket", "rn", "s.kind", F.explode(words(F.col("s.body"))).alias("_w")).where("_w <> ''")
+    terms = rows.select("bucket", "rn", "s.kind", F.explode_outer(words(F.col("s.body"))).alias("_w")).where("_w <> ''")
     # One count for both texts: the edited one's in the high half.
     terms = terms.select(
         "bucket", (F.col("rn") * 16 + F.when(F.col("kind") < _BOTH, 0).otherwise(F.col("kind"))).alias("row"),
