@@ -9,7 +9,9 @@ length. Archives are gzip files in the shared folder; plain ones are read too.
 
 Reading splits files into records by their stated lengths, groups segments by
 origin identifier, orders them by number, verifies that none is missing and
-that the total length holds, joins them, and decodes the chunked framing.
+that the total length holds, joins them, and decodes the chunked framing. The
+segments of one record are held at a time. As no record exceeds a segment, a
+count of records bounds a file's bytes, whatever the payloads.
 
 Cases: a null payload is empty; an empty payload is a record like any other;
 rows that repeat an id and a payload are one response and revisits of it; a
@@ -30,16 +32,16 @@ import re
 from collections.abc import Iterator
 from urllib.parse import quote
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._shared import shared_path, written
 
-SEGMENT = 256 << 10  #: bytes of a block above which a record is segmented
-CHUNK = 64 << 10  #: bytes of a chunk of the transfer framing
+SEGMENT = 4 << 10  #: bytes of a block above which a record is segmented
+CHUNK = 1 << 10  #: bytes of a chunk of the transfer framing
 FILE = 16 << 20  #: bytes aimed at for a file
+MOST = 1 << 30  #: bytes of a file at most, before it is compressed
 DATE = "2020-01-01T00:00:00Z"
 
 
@@ -131,7 +133,7 @@ def records_of(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = end + 4 + size
 
 
-def joined(first: dict, parts: list[tuple[int, bytes, int | None]]) -> bytes:
+def joined(first: str, parts: list[tuple[int, bytes, int | None]]) -> bytes:
     """Blocks of segments (number, block, total length or None) in order, verified."""
     parts = sorted(parts, key=lambda p: p[0])
     if [p[0] for p in parts] != list(range(1, len(parts) + 1)):
@@ -189,7 +191,7 @@ def write_archives(pages: DataFrame, path: str, page_id: str = "page_id", url: s
     kept = responses if not revisit_from else responses.unionByName(plain)
     records = kept.withColumn("id", F.col("id").cast("string")).mapInArrow(store, "value binary").unionByName(revisits.mapInArrow(refer, "value binary"))
     # The text writer puts out a string's bytes as they are, and two line ends follow each record.
-    per_file = max(16, int(FILE // (mean + 700)))
+    per_file = max(1, min(int(FILE // (min(mean, segment) + 700)), MOST // (segment + 4096)))
     records.select(F.col("value").cast("string")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", per_file).option("compression", "gzip").text(path)
 
 
@@ -198,7 +200,10 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
 
     Raises where segments are missing, or lengths or digests do not hold.
     """
-    kind = "record_id string, record_type string, target string, refers_to string, payload_bytes long, payload_digest string" + ", payload binary" * payload
+    fields = [("record_id", pa.string()), ("record_type", pa.string()), ("target", pa.string()), ("refers_to", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), *([("payload", pa.binary())] if payload else [])]
+    found = pa.schema(fields)
+    kind = ", ".join(f"{n} {'long' if t == pa.int64() else t}" for n, t in fields)
+    segments = pa.schema([("origin", pa.string()), ("number", pa.int32()), ("total", pa.int64()), ("head", pa.string()), ("block", pa.binary())])
     files = spark.read.format("binaryFile").load(path).select("content")
 
     def row(head: dict, block: bytes | None) -> dict:
@@ -210,29 +215,40 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
             out |= {"payload_bytes": len(body)} | ({"payload": body} if payload else {})
         return out
 
-    def whole(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for data in f["content"]:
-                out = [row(h, b if h["warc-type"] == "response" else None) for h, b in records_of(plain(data)) if "warc-segment-number" not in h and h["warc-type"] in ("response", "revisit")]
-                if out:
-                    yield pd.DataFrame(out, columns=names).astype({"payload_bytes": "Int64"})
-
-    def parts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            for data in f["content"]:
-                out = [(h.get("warc-segment-origin-id", h["warc-record-id"]), int(h["warc-segment-number"]), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, json.dumps(h), b) for h, b in records_of(plain(data)) if "warc-segment-number" in h]
-                if out:
-                    yield pd.DataFrame(out, columns=["origin", "number", "total", "head", "block"]).astype({"total": "Int64"})
-
-    def gather(f: pd.DataFrame) -> pd.DataFrame:
-        f = f.sort_values("number")
-        head = json.loads(f["head"].iloc[0])
-        block = joined(f["origin"].iloc[0], [(int(n), b, None if pd.isna(t) else int(t)) for n, b, t in zip(f["number"], f["block"], f["total"])])
-        return pd.DataFrame([row(head, block)], columns=names).astype({"payload_bytes": "Int64"})
-
-    names = [x.split()[0] for x in kind.split(", ")]
-    split = files.mapInPandas(parts, "origin string, number int, total long, head string, block binary").groupBy("origin").applyInPandas(gather, kind)
-    return files.mapInPandas(whole, kind).unionByName(split)
+    def archives(batches: Iterator[pa.RecordBatch]) -> Iterator[bytes]:
+        for b in batches:
+            for content in b.column(0):
+                yield plain(content.as_py())
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for data in archives(batches):
+            yield pa.RecordBatch.from_pylist([row(h, b if h["warc-type"] == "response" else None) for h, b in records_of(data) if "warc-segment-number" not in h and h["warc-type"] in ("response", "revisit")], schema=found)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for data in archives(batches):
+            yield pa.RecordBatch.from_pylist([{"origin": h.get("warc-segment-origin-id", h["warc-record-id"]), "number": int(h["warc-segment-number"]), "total": int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else None, "head": json.dumps(h) if "warc-segment-origin-id" not in h else None, "block": b} for h, b in records_of(data) if "warc-segment-number" in h], schema=segments)
+
+    def reassembled(origin: str, held: list[tuple[int, bytes, int | None]], head: str | None) -> pa.RecordBatch:
+        block = joined(origin, held)
+        if head is None:
+            raise ValueError(f"segments of {origin} without a first record")
+        return pa.RecordBatch.from_pylist([row(json.loads(head), block)], schema=found)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        origin, held, first = None, [], None
+        for b in batches:
+            for one, number, total, head, block in (tuple(c[i].as_py() for c in b.columns) for i in range(b.num_rows)):
+                if one != origin and held:
+                    yield reassembled(origin, held, first)
+                    held, first = [], None
+                origin, first = one, first or head
+                held.append((number, block, total))
+        if held:
+            yield reassembled(origin, held, first)
+
+    # Segments of an origin meet in one task and follow one another there, so a task holds one record.
+    split = files.mapInArrow(parts, "origin string, number int, total long, head string, block binary").repartition("origin").sortWithinPartitions("origin", "number").mapInArrow(gather, kind)
+    return files.mapInArrow(whole, kind).unionByName(split)
 
 
 def resolved(records: DataFrame) -> DataFrame:

@@ -174,6 +174,17 @@ def test_chunked_framing():
         list(W.records_of(b"WARC/1.1\r\nContent-Length: 50\r\n\r\nshort"))
 
 
+def test_most_long_pages_are_segmented(spark, sf, tmp_path):
+    df = spark.read.parquet(f"{sf}/pages.parquet")
+    W.write_archives(df, f"file://{tmp_path}/w")
+    heads = [h for f in (tmp_path / "w").glob("*.gz") for h, _ in W.records_of(W.plain(f.read_bytes()))]
+    kinds = [h["warc-type"] for h in heads]
+    firsts = sum(h.get("warc-segment-number") == "1" for h in heads)
+    long = df.where("octet_length(html) > 4096").select("html").distinct().count()
+    assert firsts >= long > 0 and kinds.count("continuation") >= firsts
+    assert max(len(b) for f in (tmp_path / "w").glob("*.gz") for _, b in W.records_of(W.plain(f.read_bytes()))) <= W.SEGMENT
+
+
 def test_op4_against_sql(spark, sf):
     assert difference(spark, Q.op4_warc, Q.OP4, sf) == ""
 
