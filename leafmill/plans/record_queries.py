@@ -12,7 +12,7 @@ from ..operators import evaluate as E
 from ..operators import segment as S
 from .segment_queries import SQL as _SEGMENTS
 from .segment_queries import catalogues
-from .shared import DIVISIONS, ascii_text, feature_sql, table
+from .shared import _WHOLE, DIVISIONS, decomposed, feature_sql, stripped, table, whole_text
 
 CONFIG = R.Config(
     {
@@ -100,7 +100,7 @@ def q_taxa_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5: a dictionary's names found in whole texts."""
     names = table(spark, sf_dir, "part").select(F.initcap("p_name").alias("n")).select(F.concat(F.split_part("n", F.lit(" "), F.lit(1)), F.lit(" "), F.lower(F.split_part("n", F.lit(" "), F.lit(2)))).alias("name"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Red widget and Small ring, Blue none. "), ascii_text()).alias("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("Red widget and Small ring, Blue none. "), whole_text()).alias("text"))
     return B.dictionary_entities(names)(docs, "text").select("doc_id", F.array_join("entities", "|").alias("entities"))
 
 
@@ -126,11 +126,7 @@ def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sided(spark: SparkSession, sf_dir: str, frame: str) -> DataFrame:
-    from .shared import _SPARK_ASCII
-
-    docs = table(spark, sf_dir, "documents")
-    docs.createOrReplaceTempView("_leafmill_documents")
-    return E.normalized(spark.sql(f"select {frame.format(a=_SPARK_ASCII)} from _leafmill_documents"))
+    return E.normalized(spark.sql(f"select {frame.format(a=_WHOLE)} from {{docs}}", docs=table(spark, sf_dir, "documents")))
 
 
 def q_species_prf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +162,7 @@ def q_eval_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark's passages, each with a damaged copy."""
-    return table(spark, sf_dir, "benchmark").select("item_id", F.expr(r"regexp_replace(coalesce(text, ''), r'[^ -~]', ' ')").alias("a")).withColumn("b", F.expr("replace(replace(a, 'an', 'm'), 'the ', '')"))
+    return table(spark, sf_dir, "benchmark").select("item_id", F.coalesce("text", F.lit("")).alias("a")).withColumn("b", F.expr("replace(replace(a, 'an', 'm'), 'the ', '')"))
 
 
 def q_cer(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,14 +207,14 @@ s as (select doc_id, r.family_name as family_name, len(r.species) as n, unnest(c
 t as (select doc_id, family_name, n, s.species_name as species_name, cast(s.number_of_folders as int) as number_of_folders, cast(s.number_of_sheets as int) as number_of_sheets, len(s.folders_and_sheets) as m,
   unnest(case when s is null or len(s.folders_and_sheets) = 0 then [null] else s.folders_and_sheets end) as f from s)"""
 _GOLD_DUCK = f"""
-g as (select row_no, lower(family_name) as family_name, array_to_string(string_split(lower(trim(species_name)), ' ')[1:3], ' ') as species_name, replace(lower(regexp_replace(description, '^\\s+|\\s+$', '', 'g')), '\\', '') as description from (select {_GOLD.format(a=feature_sql())} from documents)),
-p as (select row_no, lower(family_name) as family_name, array_to_string(string_split(lower(trim(species_name)), ' ')[1:3], ' ') as species_name, replace(lower(regexp_replace(description, '^\\s+|\\s+$', '', 'g')), '\\', '') as description from (select {_PREDICTED.format(a=feature_sql())} from documents))"""
+g as (select row_no, lower(family_name) as family_name, array_to_string(string_split(lower(trim(species_name)), ' ')[1:3], ' ') as species_name, replace(lower({stripped(decomposed('description'))}), '\\', '') as description from (select {_GOLD.format(a=feature_sql())} from documents)),
+p as (select row_no, lower(family_name) as family_name, array_to_string(string_split(lower(trim(species_name)), ' ')[1:3], ' ') as species_name, replace(lower({stripped(decomposed('description'))}), '\\', '') as description from (select {_PREDICTED.format(a=feature_sql())} from documents))"""
 _SETS = """
 a as (select distinct {c} from g where {n}), b as (select distinct {c} from p where {n}),
 n as (select cast((select count(*) from (select * from a intersect select * from b)) as bigint) as tp, cast((select count(*) from (select * from b except select * from a)) as bigint) as fp, cast((select count(*) from (select * from a except select * from b)) as bigint) as fn),
 m as (select *, case when tp + fp > 0 then tp / (tp + fp) else 0 end as pr, case when tp + fn > 0 then tp / (tp + fn) else 0 end as re from n)
 select tp, fp, fn, round(pr, 6) as precision, round(re, 6) as recall, round(case when pr + re > 0 then 2 * pr * re / (pr + re) else 0 end, 6) as f1 from m"""
-_PAIRS = """pairs as (select *, replace(replace(a, 'an', 'm'), 'the ', '') as b from (select item_id, regexp_replace(coalesce(text, ''), '[^ -~]', ' ', 'g') as a from benchmark))"""
+_PAIRS = """pairs as (select *, replace(replace(a, 'an', 'm'), 'the ', '') as b from (select item_id, coalesce(text, '') as a from benchmark))"""
 _CONVERSATION = R.conversation(CONFIG, "\0")
 _LITERAL = "\n".join(f"{m['role']}: " + "".join("<image>" if p["text"] is None else p["text"] for p in m["content"]) for m in _CONVERSATION).replace("'", "''").split("\0")
 
@@ -252,6 +248,13 @@ select family_name, species_name, a.d as gold_description, b.d as predicted_desc
     "q_in_both": f"with {_GOLD_DUCK} select family_name, species_name from g where family_name is not null and species_name is not null intersect select family_name, species_name from p",
     "q_eval_counts": f"with {_GOLD_DUCK} select 'gold' as side, count(*) as n, count(distinct species_name) as species, count(distinct family_name) as families from g union all select 'predicted', count(*), count(distinct species_name), count(distinct family_name) from p",
     "q_cer": f"with {_PAIRS}, n as (select cast(sum(levenshtein(a, b)) as bigint) as edits, cast(sum(length(a)) as bigint) as length from pairs) select edits, length, round(edits / length, 6) as cer from n",
+    # A row of the table of edits from the row before and the next word's mismatches with all words of a.
+    "q_wer": f"""
+with {_PAIRS}, w as (select list_filter(regexp_split_to_array(a, '\\s+'), lambda v: v <> '') as a, list_filter(regexp_split_to_array(b, '\\s+'), lambda v: v <> '') as b from pairs),
+m as (select len(a) as n, list_prepend(cast(range(0, len(a) + 1) as bigint[]), list_transform(b, lambda y: list_transform(a, lambda x: cast(x <> y as bigint)))) as m from w),
+d as (select n, list_reduce(m, lambda d, x: list_transform(range(0, len(d)), lambda j: j + list_min(list_transform(range(0, j + 1), lambda k: case when k = 0 then d[1] + 1 else least(d[k + 1] + 1, d[k] + x[k]) - k end)))) as d from m),
+t as (select cast(sum(d[n + 1]) as bigint) as edits, cast(sum(n) as bigint) as words from d)
+select edits, words, round(edits / words, 6) as wer from t""",
     "q_error_log": f"with {_PARSED.format(json=_ANY)}, o as (select w.*, p.ok from w join p using (doc_id)) select case when not ok then 'not JSON' else 'required field missing or of another type' end as error, count(*) as n from o where not verified group by 1",
     "q_end_to_end": f"""
 with b as ({_SEGMENTS['q_text_blocks'].strip()}),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import chunk as C
 from ..operators import segment as S
-from .shared import CATALOGUE, DIVISIONS, ENTITIES, ascii_text, feature, feature_sql, stripped, table
+from .shared import CATALOGUE, DIVISIONS, ENTITIES, feature, feature_sql, stripped, table, whole_text
 from .text_queries import PREPARED
 
 
@@ -16,7 +16,7 @@ def catalogues(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def plain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", ascii_text().alias("text"))
+    return table(spark, sf_dir, "documents").select("doc_id", whole_text().alias("text"))
 
 
 def exploded(df: DataFrame, items, name: str) -> DataFrame:
@@ -116,7 +116,8 @@ def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C4 with spans: each token is the stripped slice of its text."""
-    return plain(spark, sf_dir).select("doc_id", C.tokens_and_spans(F.col("text")).alias("tokens"))
+    spans = plain(spark, sf_dir).select("doc_id", F.posexplode(C.tokens_and_spans(F.col("text"))).alias("i", "t"))
+    return spans.select("doc_id", F.col("i").cast("long").alias("i"), "t.tok", F.col("t.s").cast("long").alias("s"), F.col("t.e").cast("long").alias("e"))
 
 
 def q_fuzzy_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,6 +229,11 @@ select doc_id, cast(k - 1 as bigint) as i, chunk from o""",
     "q_tokens": rf"""
 with {_PLAIN}, m as (select doc_id, list_filter(list_transform(regexp_extract_all(t, '\S+'), lambda x: regexp_replace(x, '^[!-/:-@\[-`{{-~]+|[!-/:-@\[-`{{-~]+$', '', 'g')), lambda x: x <> '') as m from f)
 select doc_id, len(m) as n, array_to_string(m, ' ') as tokens from m""",
+    "q_token_spans": rf"""
+with {_PLAIN}, r as (select doc_id, regexp_extract_all(t, '\s+|\S+') as r from f),
+u as (select doc_id, unnest(r) as run, generate_subscripts(r, 1) as k from r),
+s as (select doc_id, k, length(run) as n, regexp_replace(run, '^[!-/:-@\[-`{{-~]+|[!-/:-@\[-`{{-~]+$', '', 'g') as tok, regexp_full_match(run, '\s+') as blank, cast(sum(length(run)) over (partition by doc_id order by k) as bigint) as e from u)
+select doc_id, row_number() over (partition by doc_id order by k) - 1 as i, tok, e - n as s, e from s where not blank and tok <> ''""",
     "q_batches10": "select conv_id, turn // 10 as batch, count(*) as n, cast(coalesce(sum(length(text)), 0) as bigint) as chars from conversations group by 1, 2",
     "q_corpus_concat": "select conv_id, string_agg(chr(10) || text, '' order by turn, role, text) as corpus from conversations where text is not null group by conv_id",
 }

@@ -2,21 +2,23 @@
 
 The test tables hold almost nothing that the text operators act on, so queries
 set each whole text into a frame of headings, page numbers and cut words. The
-frames are one SQL expression for both engines; only the function that folds a
-text to ASCII is written for each, since the engines' ``\\w``, ``\\b`` and
-``\\s`` differ beyond ASCII.
+frames are one SQL expression for both engines, and no character is replaced.
+DuckDB cannot decompose characters; ``decomposed`` writes the replacements out
+for the letters and signs of Latin-1 and Latin Extended-A, the only ones beyond
+ASCII in these tables.
 """
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DIVISIONS = ["Dicotyledones", "Monocotyledones", "Filices"]
 ENTITIES = ["Rosa canina", "Bellis perennis", "Poa annua", "Not a name", "lower case"]
 
-_SPARK_ASCII = r"regexp_replace(coalesce(text, ''), r'[^ -~\n]', ' ')"
-_DUCK_ASCII = r"regexp_replace(coalesce(text, ''), '[^ -~\n]', ' ', 'g')"
+_WHOLE = "coalesce(text, '')"
 
 #: A page as it comes from recognition: page numbers, cut words, damaged endings, runs of blanks.
 PAGE = """concat(chr(10), chr(10), chr(10), ' ', doc_id % 300, ' ', chr(10), chr(10), 'A cata-', chr(10), '  logue   of', chr(9), chr(9), 'plants', chr(10),
@@ -34,16 +36,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def ascii_text() -> Column:
-    return F.expr(_SPARK_ASCII)
+def whole_text() -> Column:
+    return F.expr(_WHOLE)
 
 
 def feature(frame: str) -> Column:
-    return F.expr(frame.format(a=_SPARK_ASCII))
+    return F.expr(frame.format(a=_WHOLE))
 
 
 def feature_sql(frame: str = "{a}") -> str:
-    return frame.format(a=_DUCK_ASCII)
+    return frame.format(a=_WHOLE)
 
 
 def nested(expression: str, *steps: tuple[str, str]) -> str:
@@ -55,3 +57,12 @@ def nested(expression: str, *steps: tuple[str, str]) -> str:
 
 def stripped(expression: str) -> str:
     return nested(expression, (r"^\s+|\s+$", ""))
+
+
+def decomposed(expression: str) -> str:
+    """DuckDB SQL of the compatibility decomposition."""
+    for c in map(chr, range(0xA0, 0x180)):
+        by = unicodedata.normalize("NFKD", c)
+        if by != c:
+            expression = f"replace({expression}, '{c}', '{by}')"
+    return expression

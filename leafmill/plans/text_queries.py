@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions import text as T
-from .shared import CATALOGUE, DIVISIONS, PAGE, ascii_text, feature, feature_sql, nested, stripped, table
+from .shared import CATALOGUE, DIVISIONS, PAGE, decomposed, feature, feature_sql, nested, stripped, table, whole_text
 
 _NAME = "concat('scan ', page_id, case when page_id % 5 = 0 then '.JPG' when page_id % 5 = 1 then '.png' when page_id % 5 = 2 then '.pdf' when page_id % 5 = 3 then '.txt' else '' end)"
 
@@ -31,7 +31,7 @@ def q_clean_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_clean_page_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T1 to T11; on ASCII text the decomposition changes nothing, and the SQL leaves it out."""
+    """T1 to T11."""
     return table(spark, sf_dir, "documents").select("doc_id", T.clean_page(feature(PAGE)).alias("cleaned"))
 
 
@@ -64,7 +64,7 @@ def q_unligature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_eval_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T25 to T28."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 9 != 0, F.concat(F.lit("  \\ "), ascii_text(), F.lit("\\ "))).alias("t"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") % 9 != 0, F.concat(F.lit("  \\ "), whole_text(), F.lit("\\ "))).alias("t"))
     return docs.select("doc_id", T.eval_normal(F.col("t")).alias("description"), T.eval_normal(F.col("t"), species=True).alias("species"))
 
 
@@ -99,7 +99,13 @@ PREPARED = nested(
     (r"flor(\.|a)?e", "florae"),
     (r"(?mi)^(?:TRIBE|SERIES)\s+[IVXLCDM\.]+\s*[A-Z.]*$", ""),
 )
-_EVAL = f"case when doc_id % 9 <> 0 then replace(lower({stripped(f'''concat('  \\ ', {feature_sql()}, '\\ ')''')}), '\\', '') end"
+
+
+def _folded(expression: str) -> str:
+    return f"""replace(translate({expression}, '‘’“”–—', '''''""--'), '…', '...')"""
+
+
+_EVAL = f"case when doc_id % 9 <> 0 then replace(lower({stripped(decomposed(f'''concat('  \\ ', {feature_sql()}, '\\ ')'''))}), '\\', '') end"
 
 SQL = {
     "q_scan_docs": "select doc_id, source, cast(length(text) as bigint) as n from documents where text is not null and source is not null and text <> ''",
@@ -109,8 +115,9 @@ e as (select *, regexp_extract(name, '[.]([^.]+)$', 1) as ext from n)
 select page_id, name, lower(ext) in ('jpeg', 'png', 'jpg', 'pdf') as single, ext in ('jpeg', 'png', 'jpg', 'pdf') as listed,
   name not in ('.DS_Store', '.git', 'Thumbs.db', 'cropped') as seen from e""",
     "q_clean_page": f"select doc_id, {nested(feature_sql(PAGE), *_T1_8)} as cleaned from documents",
-    "q_clean_page_full": f"select doc_id, {stripped(nested(feature_sql(PAGE), *_T1_8))} as cleaned from documents",
-    "q_fold_punct": "select doc_id, replace(translate('‘' || text || '’ “' || source || '” – — …', '‘’“”–—', '''''\"\"--'), '…', '...') as folded from documents",
+    "q_clean_page_full": f"select doc_id, {stripped(_folded(decomposed(nested(feature_sql(PAGE), *_T1_8))))} as cleaned from documents",
+    "q_nfkd": f"select doc_id, {decomposed('text')} as decomposed from documents",
+    "q_fold_punct": f"""select doc_id, {_folded("'‘' || text || '’ “' || source || '” – — …'")} as folded from documents""",
     "q_drop_preamble": r"""
 select conv_id, turn, regexp_replace(case when turn % 3 = 0 then 'Cleaned text: ' when turn % 3 = 1 then 'corrected TEXT :' || chr(10) else 'Cleaned text  : ' end || coalesce(text, ''),
   '^(?i:Cleaned|Corrected)\s(?i:text)\s{0,1}:\s*', '') as body from conversations""",
