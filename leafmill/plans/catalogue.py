@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import layout_queries, record_queries, segment_queries, text_queries
+from . import layout_queries, record_queries, segment_queries, source_queries, text_queries
 
-_MODULES = (text_queries, segment_queries, layout_queries, record_queries)
+_MODULES = (text_queries, segment_queries, layout_queries, record_queries, source_queries)
 
 
 def queries() -> dict:

@@ -100,19 +100,20 @@ def load_config(spark: SparkSession, path: str | None) -> dict | None:
     return yaml.safe_load(spark.read.text(path, wholetext=True).first()[0])
 
 
-def read_records(spark: SparkSession, source, schema: str) -> DataFrame:
-    """JSON from a path or a dict, under a schema; ValueError for anything else."""
+def read_records(spark: SparkSession, source, schema: str, lines: bool = False) -> DataFrame:
+    """JSON from a path or a dict, under a schema; ValueError for anything else. A file is one object, or with ``lines`` one for each line."""
     import json
 
     if isinstance(source, dict):
         return spark.range(1).select(F.from_json(F.lit(json.dumps(source)), schema).alias("r")).select("r.*")
     if isinstance(source, str) and exists(spark, source):
-        return spark.read.schema(Types._parse_datatype_string(schema)).json(source, multiLine=True)
+        return spark.read.schema(Types._parse_datatype_string(schema)).json(source, multiLine=not lines)
     raise ValueError(f"{source!r} is no JSON file or object")
 
 
 def read_evaluation(spark: SparkSession, path: str) -> DataFrame:
-    """A gold or predicted table with ``row_no`` by its place in the file. A leading index column is passed over."""
+    """A gold or predicted table with ``row_no``, its file's path and its place there, which sorts in the files' order. A leading index column is passed over."""
     raw = spark.read.csv(path, header=True, multiLine=True, escape='"', inferSchema=False)
-    rows = raw.withColumn("row_no", F.monotonically_increasing_id())
+    # One task reads a whole file in order, but Spark deals files by size, so the path comes first.
+    rows = raw.withColumn("row_no", F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place")))
     return rows.select("row_no", "family_name", "species_name", "description")

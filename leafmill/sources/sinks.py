@@ -15,20 +15,27 @@ from .files import exists
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``, which all executors share; a temporary folder only where none is set."""
+    """``spark.checkpoint.dir``, which all executors share; a temporary folder where none is set in local mode."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         own = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = own.get() if own.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="leafmill-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def shared_path(spark: SparkSession, what: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/leafmill/{what}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, what: str) -> DataFrame:
     """``df`` written in the shared folder and read again."""
-    path = f"{shared_folder(df.sparkSession)}/leafmill/{what}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, what)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -83,7 +90,7 @@ def indexed(df: DataFrame, order: list[str], column: str = "index") -> DataFrame
 def save_csv(flat: DataFrame, path: str, order: list[str]) -> None:
     """K3: flat records with a header and an index column without a name, in order."""
     rows = indexed(flat, order)
-    rows.select(F.col("index").alias(" "), *flat.columns).sortWithinPartitions(" ").write.mode("overwrite").csv(path, header=True, escape='"')
+    rows.select(F.col("index").alias(""), *flat.columns).sortWithinPartitions("").write.mode("overwrite").csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def save_quarantine(rows: DataFrame, path: str) -> None:
@@ -99,7 +106,7 @@ def crop_names(name: str, parts: int) -> list[str]:
 
 def save_images(images: DataFrame, folder: str) -> DataFrame:
     """K8: (name, length) of images (name, content) written as files of ``folder``, a path that executors share (``file:`` or mounted). Null contents are passed over."""
-    target = folder.removeprefix("file://")
+    target = folder.removeprefix("file:")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import os

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from leafmill.functions import jsonx as J
 from leafmill.functions import prompts as R
+from leafmill.operators import evaluate as E
 from leafmill.operators import segment as S
 from leafmill.plans import pipeline
 from leafmill.sources import files, sinks
@@ -62,6 +63,25 @@ def test_text_config_json_csv(spark, tmp_path):
     assert [tuple(r)[1:] for r in rows] == [("F", 'a "b"\nc', "d"), (None, "x", None)]
 
 
+def test_rows_of_several_files_keep_their_order(spark, tmp_path):
+    head = "family_name,species_name,description\n"
+    root = folder(tmp_path / "g", a__csv=head + "F,x,a1\nF,x,a2\n", b__csv=head + "F,x,b\n" * 500)
+    rows = files.read_evaluation(spark, root)
+    assert [r["description"] for r in rows.orderBy("row_no").limit(2).collect()] == ["a1", "a2"]
+    assert [r["description"] for r in E.first_descriptions(rows).collect()] == ["a1"]
+
+
+def test_lines_of_json(spark, tmp_path):
+    path = sinks.save_json(spark.range(5).coalesce(1), f"file://{tmp_path}/l")
+    assert sorted(r["id"] for r in files.read_records(spark, path, "id long", lines=True).collect()) == [0, 1, 2, 3, 4]
+
+
+def test_csv_header_and_blanks(spark, tmp_path):
+    sinks.save_csv(spark.createDataFrame([(" a ", "x")], "v string, w string"), f"file://{tmp_path}/o", ["v"])
+    text = "".join(p.read_text() for p in (tmp_path / "o").glob("part-*") if p.stat().st_size)
+    assert text.splitlines()[0] in (",v,w", '"",v,w') and text.splitlines()[1].replace('"', "") == "0, a ,x"
+
+
 def test_free_names(spark, tmp_path):
     root = folder(tmp_path / "n", a__json="1", a_0__json="1")
     assert sinks.free_name(spark, root, "a") == "a_1" and sinks.free_name(spark, root, "b") == "b"
