@@ -149,6 +149,19 @@ def flattened(messages: Column) -> Column:
     return F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(": "), F.array_join(F.transform(m["content"], lambda p: F.coalesce(p["text"], F.concat(F.lit("<"), p["type"], F.lit(">")))), ""))), "\n")
 
 
+#: How a conversation is written for a model: what goes before and after each message, where an image goes, and what asks for the answer.
+CHAT = {"before": "<|{role}|>\n", "after": "\n", "image": "<|image|>", "ask": "<|assistant|>\n"}
+
+
+def chat_input(messages: Column, template: dict[str, str] = CHAT) -> Column:
+    """struct(prompt, images): a conversation as the prompt of a model, with a place for each image, and how many these are. Null for a null conversation."""
+    before, behind = template["before"].split("{role}")
+    part = lambda p: F.when(p["type"] == "image", template["image"]).otherwise(F.coalesce(p["text"], F.lit("")))
+    turn = lambda m: F.concat(F.lit(before), m["role"], F.lit(behind), F.array_join(F.transform(m["content"], part), ""), F.lit(template["after"]))
+    images = F.aggregate(messages, F.lit(0), lambda n, m: n + F.size(F.filter(m["content"], lambda p: p["type"] == "image")))
+    return F.when(messages.isNotNull(), F.struct(F.concat(F.array_join(F.transform(messages, turn), ""), F.lit(template["ask"])).alias("prompt"), images.alias("images")))
+
+
 def image_prompt(system: str = "", user: str = "") -> list[dict]:
     """Asks for the text of one image."""
     return [

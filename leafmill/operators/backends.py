@@ -33,6 +33,12 @@ class Transcriber(Protocol):
     def __call__(self, messages: list[dict]) -> str: ...
 
 
+class Generator(Protocol):
+    """What follows each prompt of a batch, which may repeat the prompt in front; ``images`` holds each prompt's."""
+
+    def __call__(self, prompts: list[str], images: list[list[bytes]], max_new_tokens: int, temperature: float) -> list[str]: ...
+
+
 class PlainText:
     """Recognition of pages that hold UTF-8 text: the default, and what tests use."""
 
@@ -59,7 +65,14 @@ class Rules:
         return records_json(text)
 
 
-_MAKERS: dict[str, Callable[[], Callable]] = {"rules": Rules, "plain": PlainText}
+class Echo:
+    """Generation without a model: each prompt and the last words before it asks, as many as there may be new tokens."""
+
+    def __call__(self, prompts: list[str], images: list[list[bytes]], max_new_tokens: int, temperature: float) -> list[str]:
+        return [p + " ".join(p.removesuffix(R.CHAT["ask"]).split()[-max_new_tokens:]) for p in prompts]
+
+
+_MAKERS: dict[str, Callable[[], Callable]] = {"rules": Rules, "plain": PlainText, "echo": Echo}
 _MADE: dict[str, Callable] = {}
 
 
@@ -128,6 +141,33 @@ def asked(model: str) -> Callable[[Column], Column]:
     return answer
 
 
+def generated(prompts: DataFrame, model: str, prompt: str = "prompt", images: str | None = None, max_new_tokens: int = 1024, temperature: float = 0.01, batch: int = 10, out: str = "answer") -> DataFrame:
+    """``prompts`` with what a ``Generator`` says to each, ``batch`` of them at a time, less the prompt in front. A null prompt has a null answer.
+
+    ``images`` names a column of arrays of binaries. Sampling is the model's, at a ``temperature`` above 0.
+    """
+    if max_new_tokens < 1:
+        raise ValueError("an answer has at least one token")
+    maker = _maker(model)
+
+    @F.pandas_udf("string")
+    def answer(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        own = _own(model, maker)
+        for asked_, shown in batches:
+            out = [None] * len(asked_)
+            at = [i for i, p in enumerate(asked_) if p is not None]
+            for k in range(0, len(at), batch):
+                some = at[k : k + batch]
+                said = own([asked_.iloc[i] for i in some], [[bytes(b) for b in (() if shown.iloc[i] is None else shown.iloc[i])] for i in some], max_new_tokens, temperature)
+                if len(said) != len(some):
+                    raise ValueError(f"{len(said)} answers to {len(some)} prompts")
+                for i, text in zip(some, said):
+                    out[i] = text.removeprefix(asked_.iloc[i]).strip()
+            yield pd.Series(out, dtype=object)
+
+    return prompts.withColumn(out, answer(F.col(prompt), F.col(images) if images else F.lit(None).cast("array<binary>")))
+
+
 def native_rules(family: Column, content: Column) -> Column:
     """What ``Rules`` answers, as an expression."""
     lines = lambda r: F.filter(F.split(r, "\n"), P.not_blank)

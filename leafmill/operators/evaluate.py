@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Types
 
 from ..functions import text as T
+from ..functions.porter import stem
 
 
 def normalized(df: DataFrame, family: str = "family_name", species: str = "species_name", description: str = "description") -> DataFrame:
@@ -52,6 +54,11 @@ def in_both(gold: DataFrame, predicted: DataFrame, *columns: str) -> DataFrame:
     return distinct_values(gold, *columns).join(distinct_values(predicted, *columns), list(columns), "left_semi")
 
 
+def ordered_head(df: DataFrame, n: int = 5, row_no: str = "row_no") -> DataFrame:
+    """The first rows in file order; each task keeps ``n`` and no more is moved."""
+    return df.orderBy(row_no).limit(n)
+
+
 def character_errors(reference: Column, hypothesis: Column) -> Column:
     return F.levenshtein(reference, hypothesis)
 
@@ -83,15 +90,6 @@ def wer(pairs: DataFrame, reference: str, hypothesis: str) -> DataFrame:
     return n.withColumn("wer", ratio(F.col("edits"), F.col("words")))
 
 
-def stem(word: str) -> str:
-    """Plural and common verb endings cut; a stand-in for a full stemmer, so ROUGE-L here is approximate."""
-    if len(word) > 3:
-        for end, by in (("sses", "ss"), ("ies", "i"), ("ing", ""), ("ed", ""), ("s", "")):
-            if word.endswith(end) and len(word) - len(end) > 2 and not word.endswith("ss"):
-                return word[: -len(end)] + by
-    return word
-
-
 def lcs(a: list[str], b: list[str]) -> int:
     """Length of the longest common subsequence, with one bitset row."""
     at: dict[str, int] = {}
@@ -105,9 +103,8 @@ def lcs(a: list[str], b: list[str]) -> int:
 
 
 def rouge_l_scores(reference: str, hypothesis: str) -> tuple[float, float, float]:
-    import re
-
-    a, b = ([stem(w) for w in re.findall(r"[a-z0-9]+", t.lower())] for t in (reference, hypothesis))
+    """Over runs of letters and digits of ASCII; those longer than three are stemmed."""
+    a, b = ([stem(w) if len(w) > 3 else w for w in re.findall(r"[a-z0-9]+", t.lower())] for t in (reference, hypothesis))
     if not a or not b:
         return 0.0, 0.0, 0.0
     n = lcs(a, b)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,14 +38,101 @@ def boxes_and_midpoints(boxes: DataFrame, text: str = "text", box: str = "box")
 
 
 def gap_groups(boxes: DataFrame, page: str, x: str, gap: float) -> DataFrame:
-    """L7, approximate: boxes of a page whose midpoints follow each other within ``gap`` are a group (``label`` from 0)."""
+    """L7 without Python, approximate: boxes of a page whose midpoints follow each other within ``gap`` are a group (``label`` from 0)."""
     w = Window.partitionBy(page).orderBy(x)
     jump = (F.col(x) - F.lag(x).over(w) > gap).cast("int")
     return boxes.withColumn("_jump", F.coalesce(jump, F.lit(0))).withColumn("label", F.sum("_jump").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)).cast("long")).drop("_jump")
 
 
-def clustered_groups(boxes: DataFrame, page: str, x: str, clusterer: Callable[[list[float], int], list[int]]) -> DataFrame:
-    """L7 with a density clusterer (values, least samples) -> labels: all noise is tried again with 2, and is one group after that."""
+def reach_tree(values: np.ndarray, samples: int) -> list[tuple[float, int, int]]:
+    """Edges (length, i, j) of a least spanning tree over sorted values, by increasing length.
+
+    A length is the distance of two values, or that of the ``samples``-th value about either, itself counted, if it is more. One row of lengths is held at a time.
+    """
+    n = len(values)
+    k = min(samples, n)
+    core = np.full(n, np.inf)
+    for back in range(k):  # runs of k values, of which one's own is that many from the left
+        i = np.arange(back, n - (k - 1 - back))
+        core[i] = np.minimum(core[i], np.maximum(values[i] - values[i - back], values[i + k - 1 - back] - values[i]))
+    near, at, left, now, edges = np.full(n, np.inf), np.zeros(n, int), np.ones(n, bool), 0, []
+    for _ in range(n - 1):
+        left[now] = False
+        length = np.maximum(np.maximum(core, core[now]), np.abs(values - values[now]))
+        closer = left & (length < near)
+        near[closer], at[closer] = length[closer], now
+        then = int(np.argmin(np.where(left, near, np.inf)))
+        edges.append((float(near[then]), int(at[then]), then))
+        now = then
+    return sorted(edges)
+
+
+def density_labels(values: list[float], samples: int, smallest: int = 5) -> list[int]:
+    """Labels of values by hierarchical density (Campello et al., 2013): -1 is noise, clusters count from the left.
+
+    The tree of merges is cut where both parts are of at least ``smallest`` values; of a cluster and those within it, that of the greater excess of mass is taken, and never the whole.
+    """
+    order = np.argsort(values, kind="stable")
+    n = len(order)
+    if n < 2 * smallest:  # the whole is no cluster, and no two fit
+        return [-1] * n
+    parts: list[tuple[float, int, int, int]] = [(0.0, -1, -1, 1)] * n  # length, two parts, size; the values come first
+    top = list(range(n))  # by a value's root, the part it is in
+    root = list(range(n))
+
+    def find(i: int) -> int:
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for length, i, j in reach_tree(np.asarray(values, float)[order], samples):
+        i, j = find(i), find(j)
+        parts.append((length, top[i], top[j], parts[top[i]][3] + parts[top[j]][3]))
+        root[j], top[i] = i, len(parts) - 1
+
+    def members(part: int) -> list[int]:
+        out, todo = [], [part]
+        while todo:
+            p = todo.pop()
+            if p < n:
+                out.append(p)
+            else:
+                todo += parts[p][1:3]
+        return out
+
+    mass, inner, start = [0.0], [[]], [len(parts) - 1]
+    todo = [(len(parts) - 1, 0, 0.0)]  # part, cluster, density at which the cluster began
+    while todo:
+        part, cluster, begun = todo.pop()
+        length, *two, _ = parts[part]
+        density = 1 / max(length, 1e-12)
+        large = [p for p in two if parts[p][3] >= smallest]
+        if len(large) == 2:
+            mass[cluster] += (density - begun) * parts[part][3]
+            for p in two:
+                inner[cluster].append(len(mass))
+                todo.append((p, len(mass), density))
+                mass.append(0.0), inner.append([]), start.append(p)
+        else:
+            mass[cluster] += (density - begun) * sum(parts[p][3] for p in two if p not in large)
+            todo += [(p, cluster, begun) for p in large]
+    taken: list[list[int]] = [[] for _ in mass]
+    for c in range(len(mass) - 1, -1, -1):
+        within = sum(mass[k] for k in inner[c])
+        if c and mass[c] >= within:
+            taken[c] = [c]
+        else:
+            mass[c], taken[c] = max(mass[c], within), [t for k in inner[c] for t in taken[k]]
+    out = [-1] * n
+    for label, own in enumerate(sorted(sorted(members(start[c])) for c in taken[0])):
+        for i in own:
+            out[order[i]] = label
+    return out
+
+
+def clustered_groups(boxes: DataFrame, page: str, x: str, clusterer: Callable[[list[float], int], list[int]] = density_labels) -> DataFrame:
+    """L7 by density; a ``clusterer`` takes (values, least samples) and gives labels: all noise is tried again with 2, and is one group after that."""
     schema = Types.StructType([*boxes.schema.fields, Types.StructField("label", Types.LongType())])
 
     def run(f: pd.DataFrame) -> pd.DataFrame:
@@ -93,9 +181,9 @@ def gutter(profile: DataFrame, page: str, width: str) -> DataFrame:
     return ends.select(page, (F.col("lo") + F.floor((first + (n - last)) / 2)).cast("long").alias("split_x"))
 
 
-def columns_of_pages(boxes: DataFrame, page: str, box: str = "box", text: str = "text", gap: float = 50.0, clusterer=None) -> DataFrame:
-    """(page, col_no, box): text boxes grouped, bounded, padded, merged and ordered from the left. Pages without columns give no rows."""
+def columns_of_pages(boxes: DataFrame, page: str, box: str = "box", text: str = "text", gap: float | None = None, clusterer: Callable[[list[float], int], list[int]] = density_labels) -> DataFrame:
+    """(page, col_no, box): text boxes grouped (by density, or by ``gap`` where one is given), bounded, padded, merged and ordered from the left. Pages without columns give no rows."""
     mids = boxes_and_midpoints(boxes, text, box).withColumn("_x", F.col("mid.x"))
-    grouped = clustered_groups(mids, page, "_x", clusterer) if clusterer else gap_groups(mids, page, "_x", gap)
+    grouped = clustered_groups(mids, page, "_x", clusterer) if gap is None else gap_groups(mids, page, "_x", gap)
     bounds = column_bounds(grouped, page, box)
     return bounds.groupBy(page).agg(F.collect_list("box").alias("b")).select(page, F.posexplode(F.array_sort(merge_columns(F.array_sort("b")))).alias("col_no", "box"))

@@ -54,6 +54,12 @@ def q_gap_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.gap_groups(mids, "page", "mid_x", 40.0).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "page", F.round("mid_x", 6).alias("mid_x"), "label")
 
 
+def q_density_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Midpoints of each page grouped by density."""
+    mids = L.boxes_and_midpoints(boxes(spark, sf_dir).withColumn("text", F.lit("x")), "text", "box").select("page", "l_orderkey", "l_linenumber", F.col("mid.x").alias("mid_x"))
+    return L.clustered_groups(mids, "page", "mid_x")
+
+
 def q_cluster_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Padded bounds of each group; orders' line numbers stand in for labels, the first for noise."""
     groups = boxes(spark, sf_dir).withColumn("label", F.when(F.col("l_linenumber") == 1, -1).otherwise(F.col("l_linenumber") % 3).cast("long"))
@@ -145,4 +151,4 @@ select page_id, 'scan ' || lpad(cast(page_id as varchar), 20, '0') || '_cropped_
     "q_page_guards": "select p_partkey, p_size * 10 < p_partkey % 500 as portrait, p_size * 10 * 0.5 > 100 and (p_partkey % 500) * 0.5 > 100 as resized, true as body from part",
 }
 
-QUERIES = {f.__name__: f for f in (q_box_geom, q_merge_columns, q_gap_cluster, q_cluster_bounds, q_columns_of_pages, q_roi, q_line_filter, q_split_line, q_gutter, q_natural_sort, q_page_guards)}
+QUERIES = {f.__name__: f for f in (q_box_geom, q_merge_columns, q_gap_cluster, q_density_groups, q_cluster_bounds, q_columns_of_pages, q_roi, q_line_filter, q_split_line, q_gutter, q_natural_sort, q_page_guards)}

@@ -160,6 +160,31 @@ def q_eval_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out[0].unionByName(out[1])
 
 
+def q_eval_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first five gold records in file order."""
+    return E.ordered_head(gold(spark, sf_dir)).select("row_no", "family_name", "species_name", "description")
+
+
+def chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each turn as a conversation, every third with an image before its text."""
+    part = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.alias("text"))
+    text, image = part("text", F.coalesce("text", F.lit(""))), part("image", F.lit(None).cast("string"))
+    content = F.when(F.col("turn") % 3 == 0, F.array(image, text)).otherwise(F.array(text))
+    messages = F.array(F.struct(F.coalesce("role", F.lit("user")).alias("role"), content.alias("content"))).cast(R.MESSAGES)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", R.chat_input(messages).alias("chat"))
+
+
+def q_chat_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as prompts, with their images counted."""
+    return chats(spark, sf_dir).select("conv_id", "turn", "chat.prompt", F.col("chat.images").cast("long").alias("images"))
+
+
+def q_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers in batches, by the stand-in for a model."""
+    asked = chats(spark, sf_dir).select("conv_id", "turn", "chat.prompt")
+    return B.generated(asked, "echo", max_new_tokens=3).select("conv_id", "turn", "answer")
+
+
 def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark's passages, each with a damaged copy."""
     return table(spark, sf_dir, "benchmark").select("item_id", F.coalesce("text", F.lit("")).alias("a")).withColumn("b", F.expr("replace(replace(a, 'an', 'm'), 'the ', '')"))
@@ -214,6 +239,7 @@ a as (select distinct {c} from g where {n}), b as (select distinct {c} from p wh
 n as (select cast((select count(*) from (select * from a intersect select * from b)) as bigint) as tp, cast((select count(*) from (select * from b except select * from a)) as bigint) as fp, cast((select count(*) from (select * from a except select * from b)) as bigint) as fn),
 m as (select *, case when tp + fp > 0 then tp / (tp + fp) else 0 end as pr, case when tp + fn > 0 then tp / (tp + fn) else 0 end as re from n)
 select tp, fp, fn, round(pr, 6) as precision, round(re, 6) as recall, round(case when pr + re > 0 then 2 * pr * re / (pr + re) else 0 end, 6) as f1 from m"""
+_CHAT = "'<|' || coalesce(role, 'user') || '|>' || chr(10) || case when turn % 3 = 0 then '<|image|>' else '' end || coalesce(text, '') || chr(10)"
 _PAIRS = """pairs as (select *, replace(replace(a, 'an', 'm'), 'the ', '') as b from (select item_id, coalesce(text, '') as a from benchmark))"""
 _CONVERSATION = R.conversation(CONFIG, "\0")
 _LITERAL = "\n".join(f"{m['role']}: " + "".join("<image>" if p["text"] is None else p["text"] for p in m["content"]) for m in _CONVERSATION).replace("'", "''").split("\0")
@@ -247,6 +273,9 @@ b as (select family_name, species_name, arg_min({{'d': description}}, row_no).d
 select family_name, species_name, a.d as gold_description, b.d as predicted_description from a join b using (family_name, species_name) where a.d is not null and b.d is not null""",
     "q_in_both": f"with {_GOLD_DUCK} select family_name, species_name from g where family_name is not null and species_name is not null intersect select family_name, species_name from p",
     "q_eval_counts": f"with {_GOLD_DUCK} select 'gold' as side, count(*) as n, count(distinct species_name) as species, count(distinct family_name) as families from g union all select 'predicted', count(*), count(distinct species_name), count(distinct family_name) from p",
+    "q_eval_head": f"with {_GOLD_DUCK} select * from g order by row_no limit 5",
+    "q_chat_inputs": f"select conv_id, turn, {_CHAT} || '<|assistant|>' || chr(10) as prompt, cast(case when turn % 3 = 0 then 1 else 0 end as bigint) as images from conversations",
+    "q_generated": f"with w as (select conv_id, turn, list_filter(regexp_split_to_array({_CHAT}, '\\s+'), lambda v: v <> '') as w from conversations) select conv_id, turn, array_to_string(w[-3:], ' ') as answer from w",
     "q_cer": f"with {_PAIRS}, n as (select cast(sum(levenshtein(a, b)) as bigint) as edits, cast(sum(length(a)) as bigint) as length from pairs) select edits, length, round(edits / length, 6) as cer from n",
     # A row of the table of edits from the row before and the next word's mismatches with all words of a.
     "q_wer": f"""
@@ -269,6 +298,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         q_json_verify, q_json_coerce, q_extra_keys, q_flatten_csv, q_flatten_safe, q_joined_lists, q_json_repair, q_conversation_build, q_conv_flatten, q_taxa_windows, q_entities, q_backbone_lookup,
-        q_species_prf, q_pair_prf, q_first_desc, q_in_both, q_eval_counts, q_cer, q_wer, q_rouge_l, q_error_log, q_end_to_end,
+        q_species_prf, q_pair_prf, q_first_desc, q_in_both, q_eval_counts, q_eval_head, q_chat_inputs, q_generated, q_cer, q_wer, q_rouge_l, q_error_log, q_end_to_end,
     )
 }

@@ -289,3 +289,60 @@ def test_images_as_tables(spark):
     assert sorted(parts) == ["b_cropped_1.png", "b_cropped_2.png", "scan_cropped_1.png", "scan_cropped_2.png"] and parts["scan_cropped_1.png"][0] == 160
     small = spark.createDataFrame([("s.png", bytearray(I.encode_npy(page()[:50, :50])))], "name string, content binary")
     assert I.decode_npy(bytes(I.prepared(small).first()["content"])).shape == (50, 50)
+
+
+def test_stems_of_the_published_examples():
+    from leafmill.functions.porter import stem
+
+    words = "caresses ponies ties cats feed agreed plastered motoring sing conflated troubled sized hopping falling failing filing happy sky relational conditional valenci digitizer vietnamization feudalism hopefulness sensibiliti formalize electrical goodness revival airliner adjustable replacement dependent adoption homologous bowdlerize probate rate cease controlling roll generalizations oscillators skies dying"
+    stems = "caress poni tie cat feed agre plaster motor sing conflat troubl size hop fall fail file happi sky relat condit valenc digit vietnam feudal hope sensibl formal electr good reviv airlin adjust replac depend adopt homolog bowdler probat rate ceas control roll gener oscil sky die"
+    assert [stem(w) for w in words.split()] == stems.split()
+
+
+def plain_reach(values: list[float], samples: int) -> list[float]:
+    """Lengths of a least spanning tree over all pairs."""
+    n = len(values)
+    core = [sorted(abs(a - b) for b in values)[samples - 1] for a in values]
+    group = list(range(n))
+    out = []
+    for length, i, j in sorted((max(core[i], core[j], abs(values[i] - values[j])), i, j) for i in range(n) for j in range(i)):
+        if group[i] != group[j]:
+            out.append(length)
+            group = [group[i] if g == group[j] else g for g in group]
+    return out
+
+
+def test_density_tree_is_the_least_of_all_pairs():
+    import random
+
+    random.seed(4)
+    for n, samples in ((2, 1), (12, 3), (40, 10), (40, 1)):
+        values = sorted(random.choice([random.gauss(0, 1), random.gauss(30, 2), float(random.randrange(9))]) for _ in range(n))
+        assert [e[0] for e in L.reach_tree(np.array(values), samples)] == pytest.approx(plain_reach(values, samples))
+
+
+def test_density_groups():
+    left, right = [100.0 + i % 7 / 10 for i in range(20)], [400.0 + i % 5 / 10 for i in range(15)]
+    mixed = [v for pair in zip(left, right) for v in pair] + left[15:] + [900.0]
+    labels = L.density_labels(mixed, 5)
+    assert [0 if v < 200 else -1 if v > 500 else 1 for v in mixed] == labels
+    assert L.density_labels([1.0] * 4, 2) == [-1] * 4 and L.density_labels([], 1) == []
+    assert L.density_labels([7.0] * 30, 10) == [-1] * 30 or set(L.density_labels([7.0] * 30, 10)) == {0}
+
+
+def test_pages_of_few_boxes_are_one_group(spark):
+    df = spark.createDataFrame([(1, 5.0), (1, 900.0), (2, 4.0)], "page int, x double")
+    assert {r["label"] for r in L.clustered_groups(df, "page", "x").collect()} == {0}
+
+
+def test_chat_inputs_and_generation(spark):
+    talk = [("system", [("text", "a b")]), ("user", [("image", None), ("text", "c d")])]
+    df = spark.createDataFrame([(1, talk), (2, None)], f"i int, m {R.MESSAGES}").select("i", R.chat_input(F.col("m")).alias("c")).orderBy("i")
+    rows = df.collect()
+    assert rows[0]["c"]["prompt"] == "<|system|>\na b\n<|user|>\n<|image|>c d\n<|assistant|>\n" and rows[0]["c"]["images"] == 1 and rows[1]["c"] is None
+    said = B.generated(df.select("i", "c.prompt"), "echo", max_new_tokens=1).orderBy("i").collect()
+    assert [r["answer"] for r in said] == ["d", None]
+    with pytest.raises(ImportError):
+        B.generated(df.select("i", "c.prompt"), "no such model")
+    with pytest.raises(ValueError):
+        B.generated(df.select("i", "c.prompt"), "echo", max_new_tokens=0)
