@@ -82,8 +82,8 @@ def signed(texts: DataFrame, key: list[str], text: str, samples: int = SAMPLES)
     return least.select(*key, signature([F.col(f"_s{k}") for k in range(samples)]).alias("fingerprint"))
 
 
-def buckets_of(docs: DataFrame, doc_id: str, n: int) -> Column:
-    """A column that numbers ranges of ``doc_id``, of nearly equal counts, in descending order; ``n``: rows.
+def buckets_of(docs: DataFrame, doc_id: str, n: int) -> tuple[Column, int]:
+    """A column that numbers ranges of ``doc_id``, of nearly equal counts, in descending order, and how many numbers there are; ``n``: rows.
 
     There are at most ``MAX_BUCKETS``, cut at quantiles; a null doc_id is in a last one.
     """
@@ -92,31 +92,32 @@ def buckets_of(docs: DataFrame, doc_id: str, n: int) -> Column:
     cuts = sorted(set(cuts or []))
     steps = [1 << i for i in range(len(cuts).bit_length() - 1, -1, -1)]
     if not cuts:
-        return F.when(F.col(doc_id).isNull(), 1).otherwise(0)
+        return F.when(F.col(doc_id).isNull(), 1).otherwise(0), 2
     # Binary search for how many cuts are at most doc_id; the cuts are folded into one literal.
     at = F.expr(f"aggregate(array({','.join(map(str, steps))}), 0, (a, s) -> if(a + s <= {len(cuts)} and get(from_json('{cuts}', 'array<bigint>'), a + s - 1) <= {doc_id}, a + s, a))")
-    return F.when(F.col(doc_id).isNull(), len(cuts) + 1).otherwise(F.lit(len(cuts)) - at)
+    return F.when(F.col(doc_id).isNull(), len(cuts) + 1).otherwise(F.lit(len(cuts)) - at), len(cuts) + 2
 
 
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(bucket, rn, doc_id, text, next_text, next_bucket): each row with the next in descending order of doc_id; the first follows the last.
 
-    Texts are shuffled once, by ranges of doc_id. The last row of a range gets the first of ``next_bucket``, which is null for all others.
+    Texts are shuffled once, by ranges of doc_id, as many to each task: hashes of so few numbers would put several times as many into some. Behind the last row of a range stands the first of ``next_bucket``, which is null for all others.
     """
     n = docs.count()
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    own = own.withColumn("bucket", buckets_of(own, "doc_id", n))
+    bucket, number = buckets_of(own, "doc_id", n)
+    own = own.withColumn("bucket", bucket)
     order = [F.desc_nulls_last("doc_id"), F.xxhash64("text"), F.col("text")]
-    w = Window.partitionBy("bucket").orderBy(*order)
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MAX_BUCKETS, n // ROWS))
-    placed = own.repartition(parts, "bucket").withColumns({"rn": F.row_number().over(w), "next_text": F.lead("text").over(w)})
     tops = sorted(own.groupBy("bucket").agg(F.max("doc_id")).collect(), key=lambda r: r[0])  # MAX_BUCKETS + 1 rows at most
     follow = [{"bucket": b[0], "before": a[0], "top": b[1]} for a, b in zip(tops[-1:] + tops[:-1], tops)]
     pairs = local_rows(docs.sparkSession, follow, "bucket int, before int, top bigint")
     first = own.join(F.broadcast(pairs), "bucket").where(F.col("doc_id").eqNullSafe(F.col("top")))
-    heads = first.withColumn("n", F.row_number().over(w)).where("n = 1").select(F.col("before").alias("_b"), F.col("bucket").alias("next_bucket"), F.col("text").alias("head_text"))
-    joined = placed.join(heads, (F.col("bucket") == F.col("_b")) & F.col("next_text").isNull(), "left")
-    return joined.select("bucket", "rn", "doc_id", "text", F.coalesce("next_text", "head_text").alias("next_text"), "next_bucket")
+    heads = first.withColumn("n", F.row_number().over(Window.partitionBy("bucket").orderBy(*order))).where("n = 1")
+    both = own.select("bucket", "doc_id", "text", F.lit(None).cast("int").alias("head_of")).unionByName(heads.select(F.col("before").alias("bucket"), "doc_id", "text", F.col("bucket").alias("head_of")))
+    w = Window.partitionBy("bucket").orderBy(F.col("head_of").isNotNull(), *order)
+    each = max(1, number // max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n // ROWS, 1))  # ranges of a task
+    placed = both.repartitionById(-(-number // each), F.col("bucket")).withColumns({"rn": F.row_number().over(w), "next_text": F.lead("text").over(w), "next_bucket": F.lead("head_of").over(w)})
+    return placed.where("head_of is null").select("bucket", "rn", "doc_id", "text", "next_text", "next_bucket")
 
 
 def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", samples: int = SAMPLES) -> DataFrame:
