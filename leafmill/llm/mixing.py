@@ -19,8 +19,8 @@ texts that share a labelled id the least is learnt from; without labels there is
 one domain and every rate is 1; every labelled domain is one of the model, and a
 target for any other is left out with a warning; targets that no nonnegative
 rates reach give a warning with the shares reached; of equal posteriors the
-first domain by name is named; very long texts are read whole; repeated rows
-count each; other columns are kept whatever their names; an empty table gives no
+first domain by name is named; very long texts are read whole, in slices that cut
+no word, so that their words need not be held at once; repeated rows count each; other columns are kept whatever their names; an empty table gives no
 rows.
 """
 
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import json
 import warnings
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,6 +42,7 @@ KEYWORDS = 24  #: for each domain
 NEAR = 1e-3  #: of all tokens, by which a domain's share may miss its target without a warning
 WIDE = 32  #: up to so many domains, expressions name each; beyond, they are over arrays
 COLUMNS = 1024  #: of one aggregation
+LONG = 1 << 20  #: bytes of a text above which it is read in slices, and code points of a slice
 _LETTER = r"\p{L}"
 
 
@@ -58,6 +60,20 @@ class Domains:
 
         return [share(k) if k else F.lit(0.0) for k in self.keywords]
 
+    def sliced(self, text: Column) -> Column:
+        """The array of ``features`` of a long text: keywords are counted in one slice after the other."""
+
+        def count(hits: Column, own: list[str]) -> Column:
+            return F.size(F.filter(hits, lambda w: w.isin(own))) if own else F.lit(0)
+
+        def found(hits: Column) -> Column:
+            return F.array(*(count(hits, k) for k in self.keywords), F.size(hits))
+
+        each = F.transform(slices(text), lambda s: once(self.hits(s), found))
+        n = F.aggregate(each, F.array(*[F.lit(0)] * (len(self.keywords) + 1)), lambda a, b: F.zip_with(a, b, lambda x, y: x + y))
+        last = len(self.keywords)
+        return once(n, lambda c: F.array(*(F.get(c, F.lit(i)) / F.greatest(F.get(c, F.lit(last)), F.lit(1)) for i in range(last))))
+
     def hits(self, text: Column) -> Column:
         words = sorted({w for k in self.keywords for w in k}, key=lambda w: (-len(w), w))
         if not words:
@@ -66,9 +82,34 @@ class Domains:
         return F.coalesce(F.regexp_extract_all(F.lower(text), F.lit(pattern), 0), F.array().cast("array<string>"))
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def is_long(text: Column) -> Column:
+    return F.coalesce(F.octet_length(text) > LONG, F.lit(False))
+
+
+def slices(text: Column) -> Column:
+    """A text in parts of ``LONG`` code points at most, each cut before white space; only a longer word makes a longer part."""
+    return F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{LONG}}}(?=\s|\z)|\S+"), F.lit(0))
+
+
 def tokens(text: Column) -> Column:
     """Words between white space, as the measure of a document's size."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
+
+    def count(of: Column) -> Column:
+        return F.regexp_count(of, F.lit(r"\S+"))
+
+    parts = F.aggregate(F.transform(slices(text), count), F.lit(0), lambda a, b: a + b)
+    return F.coalesce(F.when(is_long(text), parts).otherwise(count(text)), F.lit(0)).cast("long")
+
+
+def featured(docs: DataFrame, model: Domains, text: str) -> DataFrame:
+    """``docs`` with ``_x``, an array of the model's features, and ``_hits``, which they are counted in unless a text is long."""
+    out = docs.withColumn("_hits", model.hits(F.when(~is_long(F.col(text)), F.col(text))))
+    return out.withColumn("_x", F.when(is_long(F.col(text)), model.sliced(F.col(text))).otherwise(F.array(*model.features())))
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "domain", sample: int = SAMPLE) -> Domains:
@@ -82,7 +123,10 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", te
     names = sorted({r[0] for r in rows.select("_y").distinct().collect()})
     if len(names) < 2:
         return Domains(names or ["all"], [[]], [[0.0, 0.0]])
-    each = rows.select("_y", F.explode_outer(F.array_distinct(F.split("text", rf"[^{_LETTER}]+"))).alias("w")).where(F.col("w").rlike(f"^{_LETTER}{{1,20}}$"))
+    apart = rf"[^{_LETTER}]+"
+    in_slices = F.aggregate(slices(F.col("text")), F.array().cast("array<string>"), lambda a, s: F.array_union(a, F.split(s, apart)))
+    words = F.when(is_long(F.col("text")), in_slices).otherwise(F.array_distinct(F.split("text", apart)))
+    each = rows.select("_y", F.explode_outer(words).alias("w")).where(F.col("w").rlike(f"^{_LETTER}{{1,20}}$"))
     size = {r["_y"]: r["count"] for r in rows.groupBy("_y").count().collect()}
     by_word = [F.count(F.when(F.col("_y") == y, 1)).alias(f"n{i}") for i, y in enumerate(names)]
     counts = each.groupBy("w").agg(*by_word)
@@ -93,7 +137,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, doc_id: str = "doc_id", te
         lean = (own / size[y]) * F.log((own + 0.5) / (size[y] + 1) / ((rest + 0.5) / (total - size[y] + 1)))
         keywords.append([r["w"] for r in counts.select("w", lean.alias("s")).where("s > 0").orderBy(F.desc("s"), "w").limit(KEYWORDS).collect()])
     model = Domains(names, keywords, [])
-    found = rows.withColumn("_hits", model.hits(F.col("text"))).select("_y", F.array(*model.features()).alias("x")).collect()
+    found = featured(rows, model, "text").select("_y", F.col("_x").alias("x")).collect()
     x = np.hstack([np.array([r["x"] for r in found], float), np.ones((len(found), 1))])
     y = np.array([[float(r["_y"] == n) for n in names] for r in found])
     w = np.zeros((len(names), x.shape[1]))
@@ -111,9 +155,7 @@ def total(values: Column) -> Column:
 
 def posteriors(docs: DataFrame, model: Domains, text: str = "text") -> DataFrame:
     """``docs`` with ``n_tokens`` and ``posterior``, an array over ``model.names``."""
-    out = docs.withColumn("_hits", model.hits(F.col(text)))
-    x = model.features()
-    out = out.withColumn("_x", F.array(*x))
+    out = featured(docs, model, text)
     if len(model.weights) > WIDE:
         weights = F.from_json(F.lit(json.dumps(model.weights)), "array<array<double>>")
         out = out.withColumn("_z", F.transform(weights, lambda w: F.exp(total(F.zip_with(F.concat(F.col("_x"), F.array(F.lit(1.0))), w, lambda a, b: a * b)))))

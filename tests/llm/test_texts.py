@@ -299,6 +299,23 @@ def test_mixing_of_odd_tables(spark):
     assert M.mixed(df.limit(0), labelled).count() == 0 and {r["rate"] for r in M.mixed(df, labelled.limit(0)).collect()} == {1.0}
 
 
+def test_long_texts_are_read_in_slices(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    words = {"a": "the and of to".split(), "b": "der die das und".split()}
+    rows = [(i, "".join(f"{w}{rng.choice([' ', chr(10), ', ', '  '])}" for w in rng.choice([*words["ab"[i % 2]], *words["ba"[i % 2]][:1], "x1"], 150)), "ab"[i % 2]) for i in range(40)]
+    rows += [(40, "the" * 200 + " the", "a"), (41, " " * 300, "b"), (42, "\u3000und\u0085" * 90, "b"), (43, None, None), (44, "DER " * 100 + "\n", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    whole = M.fit_domains(df, df)
+    want = sorted(tuple(r) for r in M.posteriors(df, whole).select("doc_id", "n_tokens", "posterior").collect())
+    assert not df.where(M.is_long(F.col("text"))).count()
+    monkeypatch.setattr(M, "LONG", 64)  # bytes, in place of a text of a megabyte
+    assert df.where(M.is_long(F.col("text"))).count() == 44
+    parts = {r["doc_id"]: r["s"] for r in df.where("text is not null").select("doc_id", M.slices(F.col("text")).alias("s")).collect()}
+    assert all([w for p in parts[i] for w in p.split()] == t.split() and max(map(len, parts[i])) <= (600 if i in (40, 42) else 64) for i, t, _ in rows if t)
+    assert M.fit_domains(df, df) == whole
+    assert sorted(tuple(r) for r in M.posteriors(df, whole).select("doc_id", "n_tokens", "posterior").collect()) == want
+
+
 def test_copies_keep_the_mean(spark):
     df = spark.range(20_000).select(M.copies(F.lit(1.37), F.col("id")).alias("c"))
     assert df.agg(F.avg("c")).first()[0] == pytest.approx(1.37, abs=0.02) and {r[0] for r in df.distinct().collect()} == {1, 2}
