@@ -1,15 +1,22 @@
 """Near copies by the similarity of their word shingles.
 
 Two texts link when the Jaccard similarity of their sets of five-word shingles
-is 0.8 or more. Such pairs differ in some 10 of a SimHash's 64 bits, where no
-segment is selective, so the index is of signatures: ``BANDS`` keys of ``ROWS``
-minima each. A pair at 0.8 shares a key with probability 0.998, a closer one
-with more; every pair is verified on the complete sets of shingles.
+is 0.8 or more. Candidates come from SimHash by multi-index hashing: each bit of
+a fingerprint is the majority of a bit of all shingles' hashes, and the
+fingerprint is cut into ``SEGMENTS`` of ``WIDTH`` bits with a table each. At 0.8
+a bit differs with probability 0.15, nearly always where the majority is
+narrow, so within a segment the ball that is probed flips the ``FLIPS`` bits of
+narrowest majority only, for both texts of a pair. What meets in a table is
+verified by the distance of ``BITS`` bits, and then on the complete sets of
+shingles. In sets of up to ``FEW`` shingles majorities say little; these meet by
+what is left of them without any two shingles as well.
 
 Equal sets are one node from the start. In a bucket each node is verified with
-leaders first, two by hash and the one whose other buckets are fullest, which is
-the most like the rest; so a large group of near copies is united by a few pairs
-for each node. What this leaves in different components of one bucket is then
+leaders first, two by hash and, in a bucket of more than ``HOT`` nodes, the one
+whose other buckets are fullest, which is the most like the rest; so a large
+group of near copies is united by a few pairs for each node. What this leaves
+in different components is verified by all pairs in a bucket of up to ``HOT``
+nodes; in a larger one it is
 compared in full, in tiles of ``TILE`` nodes by as many that are dealt over
 tasks: a tile verifies what shares a bucket and puts out links only, one for
 each node at most.
@@ -23,23 +30,27 @@ other.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._shared import connected_components, one_of_equal, positional, row_marks, scratch, written
-from .simhash import _ASCII_LOWER, _WORDS
+from .simhash import _ASCII_LOWER, _WORDS, BITS, HOT
 
 SIZE = 5  #: words of a shingle
 SIMILARITY = 0.8
-BANDS, ROWS = 16, 5
+SEGMENTS, WIDTH, FLIPS = 45, 24, 2
+RADIUS = 21  #: of ``BITS`` bits; a pair at 0.8 differs in 10, two unlike texts in 32
+FEW = 14
 LEADERS = 2  #: by hash, of each bucket
 TILE, TILE_BYTES = 256, 8 << 20  #: nodes of a block, and bytes of their sets, about
-_FACTORS = np.random.default_rng(13).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_WORDS_OF = -(-SEGMENTS * WIDTH // BITS)  # 64 bits each
+_SEEDS = np.arange(1, _WORDS_OF + 1, dtype=np.uint64) << np.uint64(32)
 
 
 def _hashes(text: str | None, size: int, seed: int) -> Iterator[np.ndarray]:
@@ -62,17 +73,35 @@ def shingles(text: str | None, size: int = SIZE, seed: int = 42) -> np.ndarray:
     return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint32)
 
 
-def band_keys(own: np.ndarray) -> np.ndarray:
-    """``BANDS`` keys of a set of shingles; none of an empty one."""
-    if not len(own):
-        return np.zeros(0, np.int64)
-    low = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for i in range(0, len(own), 4096):
-        x = own[i : i + 4096, None].astype(np.uint64) * _FACTORS
+def votes(own: np.ndarray) -> np.ndarray:
+    """For each bit of the fingerprint, how many of the shingles have it set."""
+    out = np.zeros(_WORDS_OF * BITS, np.int64)
+    for i in range(0, len(own), 255):  # counts of 8 bits
+        x = (own[i : i + 255, None].astype(np.uint64) | _SEEDS) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
         x ^= x >> np.uint64(31)
-        low = np.minimum(low, (x * np.uint64(0x9E3779B97F4A7C15)).min(axis=0))
-    rows = low.reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(r.tobytes(), b) for b, r in enumerate(rows)], np.uint64).view(np.int64)
+        out += np.unpackbits(x.astype(">u8").view(np.uint8), axis=1).sum(axis=0, dtype=np.uint8)
+    return out
+
+
+def segment_keys(own: np.ndarray) -> tuple[int, np.ndarray]:
+    """(the first ``BITS`` bits of the fingerprint, its keys in the tables) of a set of shingles; no keys of an empty one."""
+    if not len(own):
+        return 0, np.zeros(0, np.int32)
+    margin = 2 * votes(own) - len(own)
+    bits = margin > 0
+    cut = slice(SEGMENTS * WIDTH)
+    powers = 1 << np.arange(WIDTH)
+    narrow = np.argsort(np.abs(margin[cut]).reshape(SEGMENTS, WIDTH), axis=1, kind="stable")[:, :FLIPS]
+    keys = (bits[cut].reshape(SEGMENTS, WIDTH) @ powers + (np.arange(SEGMENTS) << WIDTH))[:, None]
+    for k in range(FLIPS):
+        keys = np.hstack([keys, keys ^ powers[narrow[:, k : k + 1]]])
+    keys = keys.ravel().tolist()
+    if len(own) <= FEW:
+        less = [np.delete(own, c) for n in range(3) for c in combinations(range(len(own)), n)]
+        keys += {-1 - (xxhash.xxh64_intdigest(x.tobytes(), 2) >> 33) for x in less if len(x)}
+    return int.from_bytes(np.packbits(bits[:BITS]).tobytes(), "big", signed=True), np.array(keys, np.int32)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -81,18 +110,18 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
 
 
 def signed(docs: DataFrame, doc_id: str, text: str, extra: list[str]) -> DataFrame:
-    """(doc_id, extra, node, keys, shingles) of each row; ``node`` is of the whole set."""
+    """(doc_id, extra, node, print, keys, shingles) of each row; ``node`` is of the whole set."""
     kinds = dict(docs.dtypes)
     keep = [doc_id, *extra]
-    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "node long, keys array<long>, shingles binary"])
+    schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "node long, print long, keys array<int>, shingles binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             own = [shingles(t) for t in b.column(len(keep)).to_pylist()]
             sets = [s.tobytes() for s in own]
             nodes = np.array([xxhash.xxh64_intdigest(s, 1) for s in sets], np.uint64).view(np.int64)
-            keys = pa.array([band_keys(s).tolist() for s in own], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(nodes), keys, pa.array(sets, pa.binary())], [*keep, "node", "keys", "shingles"])
+            prints, keys = zip(*map(segment_keys, own)) if own else ((), ())
+            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array(nodes), pa.array(prints, pa.int64()), pa.array(keys, pa.list_(pa.int32())), pa.array(sets, pa.binary())], [*keep, "node", "print", "keys", "shingles"])
 
     return docs.select(*keep, text).mapInArrow(run, schema)
 
@@ -114,13 +143,16 @@ def verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
 def tile_links(own: pd.DataFrame, other: pd.DataFrame, similarity: float) -> list[tuple[int, int]]:
     """Links that join all pairs of a row of ``own`` and one of ``other`` (node, comp, keys, shingles) that share a key, are of different components, and are alike."""
     sets = [[np.frombuffer(x, np.uint32) for x in f["shingles"]] for f in (own, other)]
-    keys = [np.array(f["keys"].tolist(), np.int64) for f in (own, other)]
+    keys = [list(f["keys"]) for f in (own, other)]
     size = [np.array([len(x) for x in g]) for g in sets]
     near = own["comp"].to_numpy()[:, None] != other["comp"].to_numpy()[None, :]
     near &= np.minimum(size[0][:, None], size[1][None, :]) >= similarity * np.maximum(size[0][:, None], size[1][None, :])
-    shared = np.zeros_like(near)
-    for band in range(keys[0].shape[1]):
-        shared |= keys[0][:, band, None] == keys[1][None, :, band]
+    both = np.intersect1d(np.concatenate(keys[0]), np.concatenate(keys[1]))
+    holds = [np.zeros((len(k), len(both)), np.float32) for k in keys]
+    for k, rows in zip(keys, holds):
+        for i, x in enumerate(k):
+            rows[i, np.isin(both, x)] = 1
+    shared = holds[0] @ holds[1].T > 0
     names, root, out = [own["node"].tolist(), other["node"].tolist()], {}, []
 
     def find(x):
@@ -156,26 +188,44 @@ def rest_links(left: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return dealt.groupBy("grp", "i", "j").applyInPandas(run, "src long, dst long")
 
 
-def components(signs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, component) of each node that links with another. ``signs`` (node, keys, shingles) is read often: have it written."""
-    each = signs.select("node", F.explode_outer("keys").alias("key")).where("key is not null")
+def linked(signs: DataFrame, pairs: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` (src, dst; written) whose sets are alike."""
+    used = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
+    sets = written(signs.join(used, "node", "left_semi").select("node", "shingles").dropDuplicates(["node"]), "sets")
+    return verified(pairs, sets, similarity)
+
+
+def components(signs: DataFrame, similarity: float = SIMILARITY, hot: int = HOT) -> DataFrame:
+    """(node, component) of each node that links with another. ``signs`` (node, print, keys, shingles) is read often: have it written."""
+    nodes = signs.select("node", "print", "keys").dropDuplicates(["node"])
+    each = nodes.select("node", "print", F.explode("keys").alias("key"))
+    met = written(each.withColumn("n", F.count("*").over(Window.partitionBy("key"))).where("n > 1"), "buckets")
+    shared = met.where(F.col("n") > hot)
     order = [F.xxhash64("node", F.lit(k)) for k in range(LEADERS)]
-    leads = each.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"), F.array_distinct(F.array(*(F.min_by("node", o) for o in order))).alias("leads"))
-    shared = written(each.join(leads.where("low <> high").select("key", "leads"), "key").distinct(), "buckets")
-    sets = written(signs.join(shared.select("node").distinct(), "node", "left_semi").select("node", "keys", "shingles").dropDuplicates(["node"]), "sets")
-    # The leader that shares the most.
+    both = F.struct("node", "print")
+    leads = met.groupBy("key").agg(F.array_distinct(F.array(*(F.min_by(both, o) for o in order))).alias("leads"))
+    # Of a crowded bucket, the leader that shares the most.
     full = shared.groupBy("key").agg(F.count("*").alias("n"))
-    weight = shared.join(full, "key").groupBy("node").agg(F.sum("n").alias("w"))
-    central = shared.join(weight, "node").groupBy("key").agg(F.max_by("node", F.struct("w", "node")).alias("lead"))
-    pairs = shared.select("node", F.explode("leads").alias("lead")).unionByName(shared.join(central, "key").select("node", "lead"))
-    stars = pairs.where("node <> lead").select(F.least("node", "lead").alias("src"), F.greatest("node", "lead").alias("dst")).distinct()
-    links = written(verified(stars, sets, similarity), "links")
+    weight = shared.select("key", "node", "print").join(full, "key").groupBy("node").agg(F.sum("n").alias("w"))
+    central = shared.join(weight, "node").groupBy("key").agg(F.max_by(both, F.struct("w", "node")).alias("lead"))
+    led = met.join(leads, "key").select("node", "print", F.explode("leads").alias("lead")).unionByName(shared.join(central, "key").select("node", "print", "lead"))
+    close = f"node <> lead.node and bit_count(print ^ lead.print) <= {RADIUS}"
+    stars = written(led.where(close).select(F.least("node", "lead.node").alias("src"), F.greatest("node", "lead.node").alias("dst")).distinct(), "pairs")
+    links = written(linked(signs, stars, similarity), "links")
     first = written(connected_components(links), "first")
     # What the leaders have left apart, though it shares a bucket.
-    placed = shared.select("node", "key").join(first, "node", "left").select("key", "node", F.coalesce("component", "node").alias("own"))
+    placed = met.join(first, "node", "left").select("key", "node", "print", "n", F.coalesce("component", "node").alias("own"))
     split = placed.groupBy("key").agg(F.min("own").alias("low"), F.max("own").alias("high")).where("low <> high").select("key")
     left = written(placed.join(split, "key"), "left")
-    more = written(rest_links(left, sets, similarity), "links")
+    few = left.where((F.col("n") > 2) & (F.col("n") <= hot))
+    other = few.select("key", F.col("node").alias("dst"), F.col("print").alias("q"), F.col("own").alias("at"))
+    apart = few.join(other, "key").where(f"node < dst and own <> at and bit_count(print ^ q) <= {RADIUS}").select(F.col("node").alias("src"), "dst").distinct()
+    more = linked(signs, written(apart, "pairs"), similarity)
+    crowded = left.where(F.col("n") > hot).select("key", "node", "own")
+    if crowded.limit(1).count():
+        sets = written(signs.join(crowded.select("node").distinct(), "node", "left_semi").select("node", "keys", "shingles").dropDuplicates(["node"]), "sets")
+        more = more.unionByName(rest_links(crowded, sets, similarity))
+    more = written(more, "links")
     return connected_components(links.unionByName(more)) if more.limit(1).count() else first
 
 
@@ -186,7 +236,7 @@ def deduplicate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sim
     marked = rows.select("*", *row_marks(rows))
     with scratch(docs.sparkSession):
         signs = written(signed(marked, one, body, ["_mark_a", "_mark_b"]), "shingles")
-        groups = components(signs.select("node", "keys", "shingles"), similarity)
+        groups = components(signs.select("node", "print", "keys", "shingles"), similarity)
         first = F.min(F.struct(F.col(one).isNull().alias("none"), one, "_mark_a", "_mark_b")).alias("lead")
         placed = signs.select(one, "_mark_a", "_mark_b", "node").join(groups, "node", "left")
         keep = placed.groupBy(F.coalesce("component", "node").alias("root")).agg(first).select("lead._mark_a", "lead._mark_b")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline as C
@@ -81,3 +82,41 @@ def test_tiles_of_what_leaders_leave(spark, monkeypatch):
 
     found, want = parts(links), parts(near)
     assert sum(found[n] == want[n] for n in rows) >= len(rows) - 2  # a pair at the very limit shares no key with probability 0.002
+
+
+def test_simhash_tables_meet_pairs_at_the_limit():
+    rng = np.random.default_rng(5)
+    for n in (4, 5, 9, 18, 36, 180):
+        met = 0
+        for _ in range(200):
+            own = rng.choice(1 << 32, n + max(1, n // 9), replace=False).astype(np.uint32)
+            less = max(1, n // 9)
+            a, b = (own[:n], own) if n < 9 else (own[:-less], own[less:])
+            (p, x), (q, y) = similar.segment_keys(np.sort(a)), similar.segment_keys(np.sort(b))
+            assert similar.jaccard(np.sort(a), np.sort(b)) >= 0.8 and len(set(x.tolist())) == len(x) >= similar.SEGMENTS
+            met += bool(set(x.tolist()) & set(y.tolist())) and ((p ^ q) & (1 << 64) - 1).bit_count() <= similar.RADIUS
+        assert met >= 196
+    votes = similar.votes(np.arange(600, dtype=np.uint32))
+    assert (np.abs(votes - 300) < 80).all() and votes.std() > 6  # majorities of even bits
+    assert (votes == sum(similar.votes(np.array([i], np.uint32)) for i in range(600))).all()
+    p, x = similar.segment_keys(np.arange(600, dtype=np.uint32))
+    assert p & (1 << 64) - 1 == sum(1 << 63 - i for i in range(64) if votes[i] > 300)
+    own = sum(1 << i for i in range(similar.WIDTH) if votes[i] > 300)
+    near = [k for k in x.tolist() if k >> similar.WIDTH == 0]
+    assert own in near and len(near) == 1 << similar.FLIPS and max((own ^ k).bit_count() for k in near) == similar.FLIPS
+
+
+def test_crowded_buckets_link_as_others_do(spark):
+    rng = random.Random(2)
+    words = [f"w{i}" for i in range(900)]
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(20)]
+    base = rng.choices(words, k=200)
+    for _ in range(60):
+        own = list(base)
+        for _ in range(rng.randint(0, 5)):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        texts.append(" ".join(own))
+    signs = similar.signed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text", []).select("node", "print", "keys", "shingles")
+    signs = C.written(signs, "test")
+    found = [{r["node"]: r["component"] for r in similar.components(signs, hot=hot).collect()} for hot in (1000, 8)]
+    assert found[0] == found[1] and len(found[0]) > 40
