@@ -120,3 +120,90 @@ def test_crowded_buckets_link_as_others_do(spark):
     signs = C.written(signs, "test")
     found = [{r["node"]: r["component"] for r in similar.components(signs, hot=hot).collect()} for hot in (1000, 8)]
     assert found[0] == found[1] and len(found[0]) > 40
+
+
+def edited(rng, n, words, base, most):
+    out = []
+    for _ in range(n):
+        own = list(base)
+        for _ in range(rng.randint(0, most)):
+            own[rng.randrange(len(own))] = rng.choice(words)
+        out.append(" ".join(own))
+    return out
+
+
+def parts_of(rows):
+    out: dict = {}
+    for r in rows:
+        out.setdefault(r["component"], set()).add(r["node"])
+    return sorted(map(sorted, out.values()))
+
+
+def test_rows_do_not_grow_with_the_square_of_a_group(spark, monkeypatch):
+    rng, made = random.Random(8), {}
+    words = [f"w{i}" for i in range(3000)]
+    texts = edited(rng, 300, words, rng.choices(words, k=250), 24)
+    signs = similar.signed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "doc_id", "text", []).select("node", "print", "keys", "shingles")
+    signs = C.written(signs, "test")
+
+    def counted(df, what, *more, **named):
+        out = C.written(df, what, *more, **named)
+        made[what] = max(made.get(what, 0), out.count())
+        return out
+
+    monkeypatch.setattr(similar, "written", counted)
+    assert similar.components(signs).count() > 40
+    assert max(made.values()) <= 10 * len(texts), made
+
+
+def test_tables_dealt_by_leading_bits_and_small_tiles(spark, monkeypatch):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(900)]
+    texts = [" ".join(rng.choices(words, k=rng.choice((3, 9, 60)))) for _ in range(80)]
+    texts += edited(rng, 90, words, rng.choices(words, k=120), 9)
+    texts += [t + " end" for t in texts[:40]] + texts[:30]
+    signs = similar.signed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5), "doc_id", "text", []).select("node", "print", "keys", "shingles")
+    signs = C.written(signs, "test")
+    want = parts_of(similar.components(signs).collect())
+    monkeypatch.setattr(similar, "ENTRIES", 16)
+    assert parts_of(similar.components(signs).collect()) == want and len(want) > 10
+    monkeypatch.setattr(similar, "TILE", 8)
+    assert parts_of(similar.components(signs).collect()) == want
+
+
+def test_rows_that_are_alone_need_no_place_of_their_own(spark, monkeypatch):
+    rows = [(i, f"text {i} of its own" if i % 3 else "the same text again") for i in range(40)] + [(7, "text 7 of its own")] * 2 + [(None, "text 8 of its own")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted([(i, t) for i, t in rows[:40] if i % 3] + [(0, "the same text again")])
+    for longs in (1 << 16, 1):
+        monkeypatch.setattr(similar, "BITMAP", longs)
+        assert sorted(map(tuple, similar.deduplicate(df).collect())) == want
+
+
+def test_buckets_against_all_pairs():
+    rng = np.random.default_rng(9)
+    nodes = np.zeros(120, similar._NODE)
+    nodes["print"] = rng.integers(0, 1 << 63, (120, similar.WORDS), dtype=np.uint64)
+    for i in range(40, 120):  # some near others, some at the very limit, or a bit beyond
+        flips = rng.choice(63 * similar.WORDS, similar.WORDS * similar.RADIUS + int(rng.integers(-9, 2)), replace=False)
+        nodes["print"][i] = nodes["print"][i % 40]
+        for f in flips:
+            nodes["print"][i, f // 63] ^= np.uint64(1) << np.uint64(f % 63)
+    own, keys = np.repeat(np.arange(120), 6), rng.integers(-60, 60, 720)
+    held = [set(keys[own == i].tolist()) for i in range(120)]
+    low = list(range(120))
+    for a in range(120):
+        for b in range(a):
+            if held[a] & held[b] and np.bitwise_count(nodes["print"][a] ^ nodes["print"][b]).sum() <= similar.WORDS * similar.RADIUS:
+                low = [min(low[a], low[b]) if x in (low[a], low[b]) else x for x in low]
+    found = similar.near_in_buckets(nodes, own, keys, 1000)
+    assert found.tolist() == low and len(set(low)) < 115
+    united = similar.near_in_buckets(nodes, own, keys, 1)
+    assert all(united[i] == united[low[i]] for i in range(120)) and len(set(united.tolist())) < len(set(low))
+
+
+def test_shared_shingles_of_tiles():
+    rng = np.random.default_rng(6)
+    for n, k in ((0, 5), (2, 3), (30, 40)):
+        a, b = ([np.unique(rng.integers(0, 9000, rng.integers(0, 6000), dtype=np.uint32)) for _ in range(m)] for m in (n, k))
+        assert similar.in_both(a, b).tolist() == [[len(set(x.tolist()) & set(y.tolist())) for y in b] for x in a]
