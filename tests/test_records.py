@@ -346,3 +346,10 @@ def test_chat_inputs_and_generation(spark):
         B.generated(df.select("i", "c.prompt"), "no such model")
     with pytest.raises(ValueError):
         B.generated(df.select("i", "c.prompt"), "echo", max_new_tokens=0)
+
+
+def test_joined_lists_multiply_single_floats(spark, tmp_path):
+    from leafmill.plans import record_queries
+
+    spark.createDataFrame([(1, [0.009, -0.5]), (2, None)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    assert [tuple(r) for r in record_queries.q_joined_lists(spark, str(tmp_path)).collect()] == [(1, "9,-500")]  # 8.9999996 in double
