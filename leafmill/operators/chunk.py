@@ -6,8 +6,10 @@ import re
 import string
 from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
+from itertools import batched
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Types
@@ -68,18 +70,47 @@ def clean_tokens(text: Column) -> Column:
     return F.filter(t, lambda x: x != "")
 
 
+def each_span(text: str) -> Iterator[tuple[str, int, int]]:
+    return ((t, m.start(), m.end()) for m in re.finditer(r"\S+", text) if (t := m.group().strip(string.punctuation)))
+
+
 def spans_of(text: str) -> list[tuple[str, int, int]]:
-    return [(t, m.start(), m.end()) for m in re.finditer(r"\S+", text) if (t := m.group().strip(string.punctuation))]
+    return list(each_span(text))
 
 
 _SPANS = Types.ArrayType(Types.StructType([Types.StructField("tok", Types.StringType()), Types.StructField("s", Types.IntegerType()), Types.StructField("e", Types.IntegerType())]))
 
 
-@F.pandas_udf(_SPANS)
-def tokens_and_spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """C4, with the span of each run as it stands."""
-    for s in batches:
-        yield s.map(lambda t: None if t is None else [{"tok": a, "s": b, "e": c} for a, b, c in spans_of(t)])
+@F.arrow_udf(_SPANS)
+def tokens_and_spans(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """C4, with the span of each run as it stands. For rows of tokens ``token_rows`` holds less."""
+    kinds = {"tok": pa.string(), "s": pa.int32(), "e": pa.int32()}
+    none = pa.array([], pa.struct(list(kinds.items())))
+    for texts in batches:
+        parts, ends = [none], [0]
+        for t in texts:  # a text's tokens are objects of Python's, a batch's are not
+            columns = list(zip(*each_span(t.as_py() or ""))) or [()] * 3
+            parts.append(pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], list(kinds)))
+            ends.append(ends[-1] + len(parts[-1]))
+        yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays(parts), mask=texts.is_null())
+
+
+TOKENS = 1 << 16  #: rows that ``token_rows`` holds
+
+
+def token_rows(df: DataFrame, keep: list[str], text: str) -> DataFrame:
+    """C4 as rows (keep, i, tok, s, e), put out as they are found: no more than ``TOKENS`` are held, be they of many texts or of a part of one."""
+    schema = Types.StructType([*df.select(*keep).schema.fields, Types.StructField("i", Types.LongType()), Types.StructField("tok", Types.StringType()), Types.StructField("s", Types.LongType()), Types.StructField("e", Types.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = ((row, i, *span) for row, t in enumerate(b.column(len(keep))) for i, span in enumerate(each_span(t.as_py() or "")))
+            for some in batched(found, TOKENS):
+                row, i, tok, s, e = zip(*some)
+                at = pa.array(row, pa.int32())
+                yield pa.RecordBatch.from_arrays([*(b.column(k).take(at) for k in range(len(keep))), pa.array(i, pa.int64()), pa.array(tok, pa.string()), pa.array(s, pa.int64()), pa.array(e, pa.int64())], schema.names)
+
+    return df.select(*keep, text).mapInArrow(run, schema)
 
 
 def partial_ratio(a: str, b: str) -> float:

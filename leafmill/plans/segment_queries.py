@@ -116,8 +116,7 @@ def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_token_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C4 with spans: each token is the stripped slice of its text."""
-    spans = plain(spark, sf_dir).select("doc_id", F.posexplode(C.tokens_and_spans(F.col("text"))).alias("i", "t"))
-    return spans.select("doc_id", F.col("i").cast("long").alias("i"), "t.tok", F.col("t.s").cast("long").alias("s"), F.col("t.e").cast("long").alias("e"))
+    return C.token_rows(plain(spark, sf_dir), ["doc_id"], "text")
 
 
 def q_fuzzy_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
