@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as Types
 
 from ..functions import geometry as G
 from ..functions import predicates as P
+from .chunk import numbered_items
 
 BOX = "struct<x1:double,y1:double,x2:double,y2:double>"
 
@@ -44,33 +45,44 @@ def gap_groups(boxes: DataFrame, page: str, x: str, gap: float) -> DataFrame:
     return boxes.withColumn("_jump", F.coalesce(jump, F.lit(0))).withColumn("label", F.sum("_jump").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)).cast("long")).drop("_jump")
 
 
-def reach_tree(values: np.ndarray, samples: int) -> list[tuple[float, int, int]]:
-    """Edges (length, i, j) of a least spanning tree over sorted values, by increasing length.
+def reach_trees(values: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges (lengths, i, j) of a least spanning tree over each row of sorted values, in the order in which they are found.
 
-    A length is the distance of two values, or that of the ``samples``-th value about either, itself counted, if it is more. One row of lengths is held at a time.
+    A length is the distance of two values, or that of the ``samples``-th value about either, itself counted, if it is more. For each row of values, one row of lengths is held at a time.
     """
-    n = len(values)
+    m, n = values.shape
     k = min(samples, n)
-    core = np.full(n, np.inf)
+    core = np.full((m, n), np.inf)
     for back in range(k):  # runs of k values, of which one's own is that many from the left
         i = np.arange(back, n - (k - 1 - back))
-        core[i] = np.minimum(core[i], np.maximum(values[i] - values[i - back], values[i + k - 1 - back] - values[i]))
-    near, at, left, now, edges = np.full(n, np.inf), np.zeros(n, int), np.ones(n, bool), 0, []
-    for _ in range(n - 1):
-        left[now] = False
-        length = np.maximum(np.maximum(core, core[now]), np.abs(values - values[now]))
+        core[:, i] = np.minimum(core[:, i], np.maximum(values[:, i] - values[:, i - back], values[:, i + k - 1 - back] - values[:, i]))
+    near, at, left, now, rows = np.full((m, n), np.inf), np.zeros((m, n), int), np.ones((m, n), bool), np.zeros(m, int), np.arange(m)
+    lengths, sources, ends = np.zeros((m, max(n - 1, 0))), np.zeros((m, max(n - 1, 0)), int), np.zeros((m, max(n - 1, 0)), int)
+    for step in range(n - 1):
+        left[rows, now] = False
+        near[rows, now] = np.inf
+        length = np.maximum(np.maximum(core, core[rows, now][:, None]), np.abs(values - values[rows, now][:, None]))
         closer = left & (length < near)
-        near[closer], at[closer] = length[closer], now
-        then = int(np.argmin(np.where(left, near, np.inf)))
-        edges.append((float(near[then]), int(at[then]), then))
-        now = then
-    return sorted(edges)
+        np.copyto(near, length, where=closer)
+        np.copyto(at, now[:, None], where=closer)
+        now = np.argmin(near, axis=1)
+        lengths[:, step], sources[:, step], ends[:, step] = near[rows, now], at[rows, now], now
+    return lengths, sources, ends
+
+
+def reach_tree(values: np.ndarray, samples: int) -> list[tuple[float, int, int]]:
+    """Edges (length, i, j) of one row of ``reach_trees``, by increasing length."""
+    return _by_length(*(x[0] for x in reach_trees(values[None, :], samples)))
 
 
-def density_labels(values: list[float], samples: int, smallest: int = 5) -> list[int]:
+def _by_length(lengths: np.ndarray, i: np.ndarray, j: np.ndarray) -> list[tuple[float, int, int]]:
+    return sorted(zip(lengths.tolist(), i.tolist(), j.tolist()))
+
+
+def density_labels(values: list[float], samples: int, smallest: int = 5, tree: list[tuple[float, int, int]] | None = None) -> list[int]:
     """Labels of values by hierarchical density (Campello et al., 2013): -1 is noise, clusters count from the left.
 
-    The tree of merges is cut where both parts are of at least ``smallest`` values; of a cluster and those within it, that of the greater excess of mass is taken, and never the whole.
+    The tree of merges is cut where both parts are of at least ``smallest`` values; of a cluster and those within it, that of the greater excess of mass is taken, and never the whole. ``tree``: the values' ``reach_tree``, where it is known.
     """
     order = np.argsort(values, kind="stable")
     n = len(order)
@@ -86,7 +98,7 @@ def density_labels(values: list[float], samples: int, smallest: int = 5) -> list
             i = root[i]
         return i
 
-    for length, i, j in reach_tree(np.asarray(values, float)[order], samples):
+    for length, i, j in reach_tree(np.asarray(values, float)[order], samples) if tree is None else tree:
         i, j = find(i), find(j)
         parts.append((length, top[i], top[j], parts[top[i]][3] + parts[top[j]][3]))
         root[j], top[i] = i, len(parts) - 1
@@ -131,20 +143,52 @@ def density_labels(values: list[float], samples: int, smallest: int = 5) -> list
     return out
 
 
+TREES = 1 << 18  #: values of pages whose trees are grown together
+
+
+def density_labels_of_pages(pages: list[list[float]], samples: list[int]) -> list[list[int]]:
+    """``density_labels`` of each page. Trees of pages of one length grow together."""
+    alike: dict[tuple[int, int], list[int]] = {}
+    for p, values in enumerate(pages):
+        alike.setdefault((len(values), samples[p]), []).append(p)
+    out: list[list[int]] = [[] for _ in pages]
+    for (n, least), own in alike.items():
+        step = max(1, TREES // max(n, 1))
+        for k in range(0, len(own), step):
+            some = own[k : k + step]
+            if n < 10:  # too few for a tree
+                trees = [None] * len(some)
+            else:
+                trees = map(_by_length, *reach_trees(np.sort(np.array([pages[p] for p in some], float), axis=1, kind="stable"), least))
+            for p, tree in zip(some, trees):
+                out[p] = density_labels(pages[p], least, tree=tree)
+    return out
+
+
+def page_labels(pages: list[list[float]], clusterer: Callable[[list[float], int], list[int]]) -> list[list[int]]:
+    """Labels of each page's values: all noise is tried again with 2, and is one group after that."""
+    each = density_labels_of_pages if clusterer is density_labels else lambda some, least: [list(clusterer(v, k)) for v, k in zip(some, least)]
+    out = each(pages, [min(10, max(len(v) // 2, 1)) for v in pages])
+    noise = [p for p, labels in enumerate(out) if all(k == -1 for k in labels)]
+    for p, labels in zip(noise, each([pages[p] for p in noise], [2] * len(noise))):
+        out[p] = [0] * len(labels) if all(k == -1 for k in labels) else labels
+    return out
+
+
 def clustered_groups(boxes: DataFrame, page: str, x: str, clusterer: Callable[[list[float], int], list[int]] = density_labels) -> DataFrame:
-    """L7 by density; a ``clusterer`` takes (values, least samples) and gives labels: all noise is tried again with 2, and is one group after that."""
-    schema = Types.StructType([*boxes.schema.fields, Types.StructField("label", Types.LongType())])
+    """L7 by density; a ``clusterer`` takes (values, least samples) and gives labels: all noise is tried again with 2, and is one group after that.
+
+    Only the values of ``x`` leave the JVM, an array for each page."""
 
-    def run(f: pd.DataFrame) -> pd.DataFrame:
-        values = f[x].tolist()
-        labels = clusterer(values, min(10, max(len(values) // 2, 1)))
-        if all(k == -1 for k in labels):
-            labels = clusterer(values, 2)
-        if all(k == -1 for k in labels):
-            labels = [0] * len(values)
-        return f.assign(label=labels)
+    @F.arrow_udf("array<long>")
+    def labels(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for b in batches:
+            yield pa.array(page_labels([[math.nan if v is None else v for v in values] for values in b.to_pylist()], clusterer), pa.list_(pa.int64()))
 
-    return boxes.groupBy(page).applyInPandas(run, schema)
+    pages = boxes.groupBy(page).agg(F.collect_list(F.struct(*(F.col(c) for c in boxes.columns))).alias("_rows"))
+    pages = pages.select("_rows", labels(F.transform("_rows", lambda r: r[x])).alias("_labels"))
+    each = pages.select(F.explode_outer(F.arrays_zip("_rows", "_labels")).alias("_each"))
+    return each.select("_each._rows.*", F.col("_each._labels").alias("label"))
 
 
 def column_bounds(groups: DataFrame, page: str, box: str = "box", share: float = 0.02) -> DataFrame:
@@ -183,7 +227,8 @@ def gutter(profile: DataFrame, page: str, width: str) -> DataFrame:
 
 def columns_of_pages(boxes: DataFrame, page: str, box: str = "box", text: str = "text", gap: float | None = None, clusterer: Callable[[list[float], int], list[int]] = density_labels) -> DataFrame:
     """(page, col_no, box): text boxes grouped (by density, or by ``gap`` where one is given), bounded, padded, merged and ordered from the left. Pages without columns give no rows."""
-    mids = boxes_and_midpoints(boxes, text, box).withColumn("_x", F.col("mid.x"))
+    mids = boxes_and_midpoints(boxes, text, box).select(page, box, F.col("mid.x").alias("_x"))
     grouped = clustered_groups(mids, page, "_x", clusterer) if gap is None else gap_groups(mids, page, "_x", gap)
     bounds = column_bounds(grouped, page, box)
-    return bounds.groupBy(page).agg(F.collect_list("box").alias("b")).select(page, F.posexplode(F.array_sort(merge_columns(F.array_sort("b")))).alias("col_no", "box"))
+    merged = bounds.groupBy(page).agg(F.collect_list("box").alias("b"))
+    return numbered_items(merged, [page], F.array_sort(merge_columns(F.array_sort("b"))), "col_no", "box")

@@ -353,3 +353,15 @@ def test_joined_lists_multiply_single_floats(spark, tmp_path):
 
     spark.createDataFrame([(1, [0.009, -0.5]), (2, None)], "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
     assert [tuple(r) for r in record_queries.q_joined_lists(spark, str(tmp_path)).collect()] == [(1, "9,-500")]  # 8.9999996 in double
+
+
+def test_density_of_pages_grows_trees_together_without_rows_in_python(spark):
+    import random
+
+    random.seed(8)
+    pages = [[round(random.choice([random.gauss(0, 9), random.gauss(300, 20)]), 6) for _ in range(n)] for n in (1, 9, 10, 40, 40, 41, 40)]
+    df = spark.createDataFrame([(p, k, v) for p, values in enumerate(pages) for k, v in enumerate(values)], "page int, k int, x double")
+    found = L.clustered_groups(df, "page", "x")
+    alone = L.clustered_groups(df, "page", "x", lambda v, least: L.density_labels(v, least))  # page by page
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, alone.collect())) and found.columns == ["page", "k", "x", "label"]
+    assert "InPandas" not in found._jdf.queryExecution().executedPlan().toString()
