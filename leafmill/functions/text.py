@@ -6,10 +6,10 @@ Patterns use ``(?U)`` where white space, words and digits are Unicode's, and
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as Types
@@ -72,10 +72,10 @@ def cap_breaks(c: Column) -> Column:
     return sub(c, r"\n{3,}", "\n\n")
 
 
-@F.pandas_udf(Types.StringType())
-def _nfkd(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for s in batches:
-        yield s.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFKD", t))
+@F.arrow_udf(Types.StringType())
+def _nfkd(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    for s in batches:  # in Arrow's own buffers; no text becomes an object of Python's
+        yield pc.utf8_normalize(s, form="NFKD")
 
 
 def nfkd(c: Column) -> Column:
