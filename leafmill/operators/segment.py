@@ -85,6 +85,19 @@ def split_by_families(df: DataFrame, keys: list[str], text: str = "text", mode:
     return numbered_items(df, keys, family_parts(F.col(text), mode), "fam_ord", "p").select(*keys, "fam_ord", F.col("p.family").alias("family"), F.col("p.text").alias("text"))
 
 
+#: A line feed before a line that starts a record by its shape, as ``P.starts_shaped_record`` tests lines; blanks end with the line.
+_BEFORE_SHAPED = "\n(?=" + P.RECORD_INDEX.removeprefix("^").replace(r"\s", r"[ \t\x0B\f\r]") + r"[A-Z][a-z]+ [a-z]+)"
+
+
+def shaped_records(text: Column) -> Column:
+    """G4 within a row: the records of a text, by the species shape, as an array."""
+
+    def record(part: Column) -> Column:
+        return F.array_join(F.filter(F.transform(F.split(part, "\n"), T.strip), lambda x: x != ""), "\n")
+
+    return F.filter(F.transform(F.split(text, _BEFORE_SHAPED, -1), record), lambda x: x != "")
+
+
 def split_records(df: DataFrame, keys: list[str], text: str = "text", entities: str | None = None) -> DataFrame:
     """(keys, rec, record). A record starts at each line that starts with an entity of the row's array ``entities``, or without it at each species-shaped line; lines before the first are a record too."""
     head = P.starts_record(F.col("line"), F.filter(F.col(entities), P.species_shaped)) if entities else P.starts_shaped_record(F.col("line"))
@@ -111,8 +124,10 @@ def structure(df: DataFrame, keys: list[str], divisions: list[str], text: str =
     own = [*keys, "div_ord", "division"]
     by_family = split_by_families(by_division, own, mode=mode)
     more = [*own, "fam_ord", "family"]
-    rows = entities(by_family, "text") if entities else by_family
-    records = split_records(rows, more, entities="entities" if entities else None)
+    if not entities:  # a projection: lines are neither moved nor sorted
+        packed = by_family.where(P.not_blank(F.col("text"))).select(*more, shaped_records(F.col("text")).alias("_records"))
+        return packed.select(*more, group_major(F.col("_records"), max_chunk, mode).alias("species"))
+    records = split_records(entities(by_family, "text"), more, entities="entities")
     packed = records.groupBy(*more).agg(F.transform(F.array_sort(F.collect_list(F.struct("rec", "record"))), lambda x: x["record"]).alias("_records"))
     return packed.select(*more, group_major(F.col("_records"), max_chunk, mode).alias("species"))
 
